@@ -236,12 +236,15 @@ def normalise_timestamps(
     values = values.join(zones, F.col("source_key") == F.col("_cs"), "left")
     read = values.select("pos", "source_key", "field_name", "value", "zone_name", "date_order").mapInPandas(_read, READ)
     single = F.size("readings") == 1
-    chain = Window.partitionBy("source_key", "field_name", "block").orderBy("pos", "readings")
+    # Both neighbours are running aggregates: a frame that ends unbounded would be read again for each row.
+    of_chain = Window.partitionBy("source_key", "field_name", "block")
+    up = of_chain.orderBy("pos", "readings").rowsBetween(Window.unboundedPreceding, -1)
+    down = of_chain.orderBy(F.desc("pos"), F.desc("readings")).rowsBetween(Window.unboundedPreceding, -1)
     anchor = F.when(single, F.struct(F.col("readings")[0]["kind"].alias("kind"), F.col("readings")[0]["at"].alias("at"), F.col("pos").alias("p")))
     placed = read.withColumn("block", F.floor(F.col("pos") / block)).select(
         "*",
-        F.last(anchor, ignorenulls=True).over(chain.rowsBetween(Window.unboundedPreceding, -1)).alias("before"),
-        F.first(anchor, ignorenulls=True).over(chain.rowsBetween(1, Window.unboundedFollowing)).alias("after"),
+        F.last(anchor, ignorenulls=True).over(up).alias("before"),
+        F.last(anchor, ignorenulls=True).over(down).alias("after"),
     )
     settled = placed.where(single).select("pos", "field_name", F.col("readings")[0]["at"].alias("utc_us"))
     runs = placed.where(~single).withColumn("run", F.col("before.p"))
