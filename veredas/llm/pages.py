@@ -274,7 +274,7 @@ def main_lines(text: str | None, title: str | None) -> list[tuple[int, str]]:
     ]
 
 
-MAIN = "pos long, line_numbers array<int>, main_text string"
+MAIN = "pos long, line_numbers array<long>, main_text string"
 
 
 def _extract(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:

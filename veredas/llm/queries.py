@@ -11,7 +11,7 @@ from veredas.session import load
 
 def p1_found(spark: SparkSession, sf_dir: str) -> DataFrame:
     lines = extract_main_content(load(spark, sf_dir, "raw_items"))
-    return lines.select("pos", F.explode("line_numbers").cast("long").alias("line_no"))
+    return lines.select("pos", F.explode("line_numbers").alias("line_no"))
 
 
 QUERIES = {"p1_found": p1_found}
