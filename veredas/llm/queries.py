@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from veredas.llm.pages import extract_main_content
+from veredas.llm.repeated_lines import repeated_lines
 from veredas.session import load
 
 
@@ -14,5 +15,10 @@ def p1_found(spark: SparkSession, sf_dir: str) -> DataFrame:
     return lines.select("pos", F.explode("line_numbers").alias("line_no"))
 
 
-QUERIES = {"p1_found": p1_found}
+def p3_found(spark: SparkSession, sf_dir: str) -> DataFrame:
+    lines = repeated_lines(load(spark, sf_dir, "raw_items"))
+    return lines.select("pos", F.col("line_no").cast("long").alias("line_no"))
+
+
+QUERIES = {"p1_found": p1_found, "p3_found": p3_found}
 ORACLES: dict[str, str] = {}
