@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from veredas.llm.pages import extract_main_content
 from veredas.llm.repeated_lines import repeated_lines
+from veredas.llm.similarity import all_pairs, near_duplicates
 from veredas.session import load
 
 
@@ -15,10 +16,21 @@ def p1_found(spark: SparkSession, sf_dir: str) -> DataFrame:
     return lines.select("pos", F.explode("line_numbers").alias("line_no"))
 
 
+def p2_found(spark: SparkSession, sf_dir: str) -> DataFrame:
+    items = load(spark, sf_dir, "cleaned_items").select(
+        F.lit("item").alias("kind"), "pos", F.concat_ws(" ", "title", "clean_text").alias("text")
+    )
+    clusters = load(spark, sf_dir, "clusters").select(
+        F.lit("cluster").alias("kind"), "pos", F.concat_ws(" ", "member_titles").alias("text")
+    )
+    rows = items.unionByName(clusters)
+    return all_pairs(*near_duplicates(rows, pos="pos", texts=["text"], kind=F.col("kind"), threshold=0.6))
+
+
 def p3_found(spark: SparkSession, sf_dir: str) -> DataFrame:
     lines = repeated_lines(load(spark, sf_dir, "raw_items"))
     return lines.select("pos", F.col("line_no").cast("long").alias("line_no"))
 
 
-QUERIES = {"p1_found": p1_found, "p3_found": p3_found}
+QUERIES = {"p1_found": p1_found, "p2_found": p2_found, "p3_found": p3_found}
 ORACLES: dict[str, str] = {}
