@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from veredas.llm.leaks import find_leaks
+from veredas.llm.packing import pack_texts
 from veredas.llm.pages import extract_main_content
 from veredas.llm.repeated_lines import repeated_lines
 from veredas.llm.similarity import all_pairs, near_duplicates
@@ -32,5 +34,13 @@ def p3_found(spark: SparkSession, sf_dir: str) -> DataFrame:
     return lines.select("pos", F.col("line_no").cast("long").alias("line_no"))
 
 
-QUERIES = {"p1_found": p1_found, "p2_found": p2_found, "p3_found": p3_found}
+def p8_pack(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pack_texts(load(spark, sf_dir, "documents"))
+
+
+def p9_found(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return find_leaks(load(spark, sf_dir, "documents"), load(spark, sf_dir, "eval_items"))
+
+
+QUERIES = {"p1_found": p1_found, "p2_found": p2_found, "p3_found": p3_found, "p8_pack": p8_pack, "p9_found": p9_found}
 ORACLES: dict[str, str] = {}
