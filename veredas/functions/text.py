@@ -3,7 +3,6 @@
 from __future__ import annotations
 
 import re
-import sys
 import unicodedata
 from functools import lru_cache
 
@@ -35,18 +34,21 @@ def fold(text: Column) -> Column:
 
 def words(text: Column) -> Column:
     """Maximal runs of letters or digits, lower-cased, accents removed, in order; null gives an empty array."""
-    return F.expr("array()").cast("array<string>") if text is None else F.regexp_extract_all(
-        fold(F.coalesce(text, F.lit(""))), F.lit(r"([\p{L}\p{Nd}]+)"), 1
-    )
+    return F.regexp_extract_all(fold(F.coalesce(text, F.lit(""))), F.lit(r"([\p{L}\p{Nd}]+)"), 1)
 
 
-MARKS = dict.fromkeys(c for c in range(sys.maxunicode + 1) if unicodedata.category(chr(c)) == "Mn")
+NON_ASCII = re.compile(r"[^\x00-\x7f]+")
+
+
+@lru_cache(maxsize=100_000)
+def _fold_run(run: str) -> str:
+    return "".join(c for c in unicodedata.normalize("NFD", run) if unicodedata.category(c) != "Mn")
 
 
 def fold_py(text: str) -> str:
-    if text.isascii():
-        return text.lower()
-    return unicodedata.normalize("NFD", text.lower()).translate(MARKS)
+    """Python twin of :func:`fold`; only the characters beyond ASCII are looked at one by one."""
+    text = text.lower()
+    return text if text.isascii() else NON_ASCII.sub(lambda m: _fold_run(m.group()), text)
 
 
 def words_py(text: str | None) -> list[str]:
