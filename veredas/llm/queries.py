@@ -10,6 +10,7 @@ from veredas.llm.packing import pack_texts
 from veredas.llm.pages import extract_main_content
 from veredas.llm.repeated_lines import repeated_lines
 from veredas.llm.similarity import all_pairs, near_duplicates
+from veredas.llm.truncation import truncated_texts, truncation_rates
 from veredas.session import load
 
 
@@ -42,5 +43,21 @@ def p9_found(spark: SparkSession, sf_dir: str) -> DataFrame:
     return find_leaks(load(spark, sf_dir, "documents"), load(spark, sf_dir, "eval_items"))
 
 
-QUERIES = {"p1_found": p1_found, "p2_found": p2_found, "p3_found": p3_found, "p8_pack": p8_pack, "p9_found": p9_found}
+def p10_found(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return truncated_texts(load(spark, sf_dir, "documents")).where("truncated").select("doc_id")
+
+
+def p10_rates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return truncation_rates(truncated_texts(load(spark, sf_dir, "documents")))
+
+
+QUERIES = {
+    "p1_found": p1_found,
+    "p2_found": p2_found,
+    "p3_found": p3_found,
+    "p8_pack": p8_pack,
+    "p9_found": p9_found,
+    "p10_found": p10_found,
+    "p10_rates": p10_rates,
+}
 ORACLES: dict[str, str] = {}
