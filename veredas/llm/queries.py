@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from veredas.llm.history import replay
 from veredas.llm.leaks import find_leaks
 from veredas.llm.packing import pack_texts
 from veredas.llm.pages import extract_main_content
@@ -35,6 +36,15 @@ def p3_found(spark: SparkSession, sf_dir: str) -> DataFrame:
     return lines.select("pos", F.col("line_no").cast("long").alias("line_no"))
 
 
+def p4_found(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return replay(
+        load(spark, sf_dir, "raw_items"),
+        load(spark, sf_dir, "cleaned_items"),
+        content_texts=["title", "clean_text"],
+        threshold=0.6,
+    )
+
+
 def p8_pack(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pack_texts(load(spark, sf_dir, "documents"))
 
@@ -55,6 +65,7 @@ QUERIES = {
     "p1_found": p1_found,
     "p2_found": p2_found,
     "p3_found": p3_found,
+    "p4_found": p4_found,
     "p8_pack": p8_pack,
     "p9_found": p9_found,
     "p10_found": p10_found,
