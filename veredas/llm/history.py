@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import uuid
 from collections.abc import Iterator
+from dataclasses import dataclass
 from functools import reduce
 
 import numpy as np
@@ -13,14 +14,15 @@ from pyspark.sql import functions as F
 
 from veredas.functions.text import collapse_spaces, fold
 from veredas.functions.url import canonical_url
-from veredas.llm.similarity import KEYS, Order, key_rows, may_match, overlap_holds, similar_sets, word_order, word_set
-from veredas.session import materialize, scratch
+from veredas.llm.similarity import KEYS, Order, key_rows, may_match, overlap_holds, verified_pairs, word_order, word_set
+from veredas.session import discard, materialize, scratch
 
 #: Bits of one part of the Bloom filter, and its number of hashes.
 PART_BITS, HASHES = 1 << 20, 4
-#: Keys for which a part is laid out: 16 bits each.
-KEYS_PER_PART = PART_BITS // 16
-ROUTED = "part int, bits binary, key long, id long, size int, low long, high long"
+#: Keys for which a part is laid out: about one in a hundred others passes.
+KEYS_PER_PART = PART_BITS // 10
+#: Keys that a set has in either role, for laying out the filters.
+KEYS_PER_SET = {"small": 45, "large": 90}
 
 
 def _places(keys: np.ndarray) -> np.ndarray:
@@ -54,7 +56,7 @@ def screen(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
             for row in places:
                 hit &= (bits[row >> 3] >> (row & 7).astype(np.uint8) & 1).astype(bool)
             keep[start:end] = hit & ~has_bits
-        yield batch.loc[keep, ["key", "id", "size", "low", "high"]]
+        yield batch.loc[keep, ["key", "id"]]
 
 
 def fill(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -88,9 +90,9 @@ class FingerprintStore:
     A delivery adds files and never rewrites the others; the filter, which is small beside the fingerprints, is written anew.
     """
 
-    def __init__(self, spark: SparkSession, folder: str, threshold: float, expected_sets: int, keys_per_set: int = 150) -> None:
+    def __init__(self, spark: SparkSession, folder: str, threshold: float, expected_sets: int) -> None:
         self.spark, self.folder, self.threshold = spark, folder.rstrip("/"), threshold
-        self.parts = max(1, -(-expected_sets * keys_per_set // KEYS_PER_PART))
+        self.parts = {role: max(1, -(-expected_sets * keys // KEYS_PER_PART)) for role, keys in KEYS_PER_SET.items()}
         self.tables: dict[str, list[str]] = {"exact": [], "sets": [], "small": [], "large": []}
         self.filters: dict[str, str] = {}
         self.order: Order | None = None
@@ -103,30 +105,29 @@ class FingerprintStore:
     def read(self, table: str) -> DataFrame | None:
         return self.spark.read.parquet(*self.tables[table]) if self.tables[table] else None
 
-    def part(self) -> Column:
-        return F.pmod(F.col("key"), F.lit(self.parts)).cast("int").alias("part")
-
-    def routed(self, filtered: str, rows: DataFrame) -> DataFrame:
-        """Key rows and the bits of the filter, by part, the bits first."""
-        none = F.lit(None)
-        both = rows.select(self.part(), none.cast("binary").alias("bits"), "key", "id", "size", "low", "high")
-        if filtered in self.filters:
-            bits = self.spark.read.parquet(self.filters[filtered])
-            columns = [F.lit(0).cast(t).alias(c) for c, t in (("key", "long"), ("id", "long"), ("size", "int"), ("low", "long"), ("high", "long"))]
-            both = bits.select("part", "bits", *columns).unionByName(both)
+    def routed(self, role: str, keys: DataFrame) -> DataFrame:
+        """Keys (key, id) and the bits of the filter, by part, the bits first."""
+        part = F.pmod(F.col("key"), F.lit(self.parts[role])).cast("int").alias("part")
+        both = keys.select(part, F.lit(None).cast("binary").alias("bits"), "key", "id")
+        if role in self.filters:
+            zero = [F.lit(0).cast("long").alias(c) for c in ("key", "id")]
+            both = self.spark.read.parquet(self.filters[role]).select("part", "bits", *zero).unionByName(both)
         return both.repartition("part").sortWithinPartitions("part", F.col("bits").isNull())
 
-    def candidates(self, filtered: str, rows: DataFrame) -> DataFrame:
-        return self.routed(filtered, rows).mapInPandas(screen, KEYS)
+    def likely(self, role: str, keys: DataFrame) -> DataFrame:
+        """The keys (key, id) that the filter does not rule out."""
+        return self.routed(role, keys).mapInPandas(screen, "key long, id long")
 
-    def extend_filter(self, filtered: str, rows: DataFrame) -> None:
-        path = f"{self.folder}/filter-{filtered}/{uuid.uuid4().hex}"
-        self.routed(filtered, rows).select("part", "bits", "key").mapInPandas(fill, "part int, bits binary").write.parquet(path)
-        self.filters[filtered] = path
+    def extend_filter(self, role: str, keys: DataFrame) -> None:
+        path = f"{self.folder}/filter-{role}/{uuid.uuid4().hex}"
+        self.routed(role, keys.withColumn("id", F.lit(0).cast("long"))).select("part", "bits", "key").mapInPandas(
+            fill, "part int, bits binary"
+        ).write.parquet(path)
+        self.filters[role] = path
 
 
 def _prints(sets: DataFrame, order: Order, threshold: float, small: bool) -> DataFrame:
-    return sets.select("id", F.lit(0).cast("long").alias("salt"), "tokens").mapInPandas(key_rows(order, threshold, small), KEYS)
+    return sets.select("id", "salt", "tokens").mapInPandas(key_rows(order, threshold, small), KEYS)
 
 
 def keyed_batch(rows: DataFrame, contents: DataFrame, *, pos: str, source: str, url: str, title: str) -> DataFrame:
@@ -151,36 +152,52 @@ def keyed_batch(rows: DataFrame, contents: DataFrame, *, pos: str, source: str,
     )
 
 
-def _leaders(batch: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """(content, id) and (id, tokens): of each word set the least pos."""
-    classes = batch.where("content is not null").groupBy("content").agg(F.min("pos").alias("id"))
-    sets = batch.select(F.col("pos").alias("id"), "tokens").join(classes.select("id"), "id", "left_semi")
-    return classes, sets
+@dataclass
+class Fingerprints:
+    """A delivery's word sets: classes (content, id), sets (id, salt, tokens) and their key rows in both roles."""
 
+    classes: DataFrame
+    sets: DataFrame
+    small: DataFrame
+    large: DataFrame
+
+    def discard(self) -> None:
+        for table in (self.classes, self.sets, self.small, self.large):
+            discard(table)
+
+
+def fingerprints(batch: DataFrame, order: Order, threshold: float) -> Fingerprints:
+    """Each word set once, by the least pos that has it; the key rows are written, as they are read several times."""
+    classes = materialize(batch.where("content is not null").groupBy("content").agg(F.min("pos").alias("id")), "classes")
+    sets = batch.select(F.col("pos").alias("id"), F.lit(0).cast("long").alias("salt"), "tokens").join(classes.select("id"), "id", "left_semi")
+    sets = materialize(sets, "sets")
+    return Fingerprints(classes, sets, *[materialize(_prints(sets, order, threshold, small), "prints") for small in (True, False)])
 
-def match_store(store: FingerprintStore, batch: DataFrame) -> DataFrame:
-    """(pos, accepted_pos): rows that match something in the store, with the least pos of it."""
 
-    every = batch.select("pos", F.explode(F.filter(F.concat("exact", F.array("content")), lambda x: x.isNotNull())).alias("key"))
-    exact = every.join(store.read("exact").withColumnRenamed("pos", "old"), "key").groupBy("pos").agg(F.min("old").alias("accepted_pos"))
-    if store.order is None or store.read("sets") is None:
-        return exact
-    classes, sets = _leaders(batch)
-    sets = materialize(sets, "batch-sets")
+def match_store(store: FingerprintStore, batch: DataFrame, prints: Fingerprints) -> DataFrame:
+    """(pos, accepted_pos): rows that match something in the store, with the least pos of it."""
+    known_keys = store.read("exact").withColumnRenamed("pos", "old")
+    exact = batch.select("pos", F.explode("exact").alias("key")).join(known_keys, "key").groupBy("pos").agg(F.min("old").alias("accepted_pos"))
     found = None
-    for mine, theirs in ((True, "large"), (False, "small")):
-        likely = store.candidates(theirs, _prints(sets, store.order, store.threshold, mine)).alias("s" if mine else "l")
-        known = store.read(theirs).alias("l" if mine else "s")
-        pairs = likely.join(known, F.col("s.key") == F.col("l.key")).where(may_match("s", "l", store.threshold))
-        new, old = ("s.id", "l.id") if mine else ("l.id", "s.id")
-        pairs = pairs.select(F.col(new).alias("id"), F.col(old).alias("old")).distinct()
+    for mine, theirs in (("small", "large"), ("large", "small")):
+        own = prints.small if mine == "small" else prints.large
+        sketches = own.select("id", "size", "low", "high").distinct()
+        # Few keys pass, so only those meet the store; their sketches come back by id.
+        likely = store.likely(theirs, own.select("key", "id")).join(sketches, "id")
+        a, b = ("s", "l") if mine == "small" else ("l", "s")
+        pairs = likely.alias(a).join(store.read(theirs).alias(b), F.col("s.key") == F.col("l.key"))
+        pairs = pairs.where(may_match("s", "l", store.threshold)).select(F.col(f"{a}.id").alias("id"), F.col(f"{b}.id").alias("old"))
         found = pairs if found is None else found.unionByName(pairs)
-    old_sets = store.read("sets").select(F.col("id").alias("old"), F.col("tokens").alias("old_tokens"))
+    old_sets = store.read("sets").select(F.col("id").alias("old"), F.col("pos").alias("old_pos"), F.col("tokens").alias("old_tokens"))
     near = (
-        found.distinct().join(sets, "id").join(old_sets, "old").where(overlap_holds("tokens", "old_tokens", store.threshold))
-        .groupBy("id").agg(F.min("old").alias("accepted_pos"))
-    )
-    near = near.join(classes, "id").join(batch.select("pos", "content"), "content").select("pos", "accepted_pos")
+        found.distinct()
+        .join(prints.sets.select("id", "tokens"), "id")
+        .join(old_sets, "old")
+        .where(overlap_holds("tokens", "old_tokens", store.threshold))
+        .groupBy("id")
+        .agg(F.min("old_pos").alias("accepted_pos"))
+    )
+    near = near.join(prints.classes, "id").join(batch.select("pos", "content"), "content").select("pos", "accepted_pos")
     return exact.unionByName(near).groupBy("pos").agg(F.min("accepted_pos").alias("accepted_pos"))
 
 
@@ -214,9 +231,10 @@ def resolve(rows: DataFrame, links: DataFrame) -> DataFrame:
         decided = seen.select(
             "pos", F.when(F.col("taken") < F.col("pos"), 2).when(F.col("first") >= F.col("pos"), 1).otherwise(0).alias("now")
         )
-        state = materialize(
-            state.join(decided, "pos", "left").select("pos", F.coalesce("now", "status").cast("int").alias("status")), "state"
-        )
+        after = state.join(decided, "pos", "left").select("pos", F.coalesce("now", "status").cast("int").alias("status"))
+        after = materialize(after, "state")
+        discard(state)
+        state = after
     taken = kept.join(state.where("status = 1"), "pos").groupBy("key").agg(F.min("pos").alias("accepted_pos"))
     refused = watched.join(state.where("status = 2").select("pos"), "pos").join(taken, "key").where("accepted_pos < pos")
     return refused.groupBy("pos").agg(F.min("accepted_pos").alias("accepted_pos"))
@@ -231,35 +249,38 @@ def accept_delivery(store: FingerprintStore, batch: DataFrame) -> DataFrame:
     content have no such key; a row without any key is accepted. pos must be unique. Only the delivery's own fingerprints
     are computed: the filter screens them, the store's are looked up by key, and hits are verified on the whole word sets.
     """
-    batch = materialize(batch, "batch")
     if store.order is None:
-        sets = batch.where("content is not null").select("tokens")
-        store.order = word_order(sets, sets.count())
-    known = None
-    rest = batch
+        contents = batch.where("content is not null").select("tokens")
+        store.order = word_order(contents, contents.count())
+    prints = fingerprints(batch, store.order, store.threshold)
+    names = batch.select("pos", "exact", "content")
+    known, rest, small, large = None, names, prints.small, prints.large
     if store.tables["exact"]:
-        known = materialize(match_store(store, batch), "known")
-        rest = batch.join(known.select("pos"), "pos", "left_anti")
-    rest = materialize(rest, "rest")
-    classes, sets = _leaders(rest)
-    classes = materialize(classes, "classes")
-    sets = materialize(sets.withColumn("salt", F.lit(0).cast("long")), "sets")
-    names = classes.select("id", "content")
+        known = materialize(match_store(store, names, prints), "known")
+        rest = materialize(names.join(known.select("pos"), "pos", "left_anti"), "rest")
+        open_ids = prints.classes.join(rest.select("content"), "content", "left_semi").select("id")
+        small, large = (x.join(open_ids, "id", "left_semi") for x in (small, large))
+    content_of = prints.classes.select("id", "content")
     links = materialize(
-        similar_sets(sets, store.threshold, store.order)
-        .join(names.select(F.col("id").alias("id_a"), F.col("content").alias("a")), "id_a")
-        .join(names.select(F.col("id").alias("id_b"), F.col("content").alias("b")), "id_b")
+        verified_pairs(small, large, prints.sets, store.threshold)
+        .join(content_of.select(F.col("id").alias("id_a"), F.col("content").alias("a")), "id_a")
+        .join(content_of.select(F.col("id").alias("id_b"), F.col("content").alias("b")), "id_b")
         .select("a", "b"),
         "links",
     )
-    inner = materialize(resolve(rest.select("pos", "exact", "content"), links), "refused")
+    inner = materialize(resolve(rest, links), "refused")
     accepted = rest.join(inner.select("pos"), "pos", "left_anti")
     store.add("exact", accepted.select(F.explode(F.filter(F.concat("exact", F.array("content")), lambda x: x.isNotNull())).alias("key"), "pos"))
-    store.add("sets", accepted.where("content is not null").select(F.col("pos").alias("id"), "tokens"))
-    added = store.spark.read.parquet(store.tables["sets"][-1])
-    for role, small in (("small", True), ("large", False)):
-        store.add(role, _prints(added, store.order, store.threshold, small))
-        store.extend_filter(role, store.spark.read.parquet(store.tables[role][-1]))
+    # Of one word set at most one row of a delivery is accepted.
+    taken = accepted.where("content is not null").select("content", "pos").join(prints.classes, "content")
+    store.add("sets", taken.select("id", "pos").join(prints.sets.select("id", "tokens"), "id"))
+    ids = store.spark.read.parquet(store.tables["sets"][-1]).select("id")
+    for role, rows in (("small", prints.small), ("large", prints.large)):
+        store.add(role, rows.join(ids, "id", "left_semi"))
+        store.extend_filter(role, store.spark.read.parquet(store.tables[role][-1]).select("key"))
+    for table in (links, rest if known is not None else links):
+        discard(table)
+    prints.discard()
     refused = inner if known is None else inner.unionByName(known)
     return refused.select("accepted_pos", "pos")
 
@@ -295,6 +316,7 @@ def replay(
         part = days[start : start + each]
         now = keyed.where(F.col("day").between(part[0], part[-1])).drop("day")
         results.append(accept_delivery(store, now))
+        spark._jvm.System.gc()  # lets Spark delete the shuffle files of the delivery; the driver's heap alone would not fill for it
     if not results:
         return keyed.select(F.col("pos").alias("accepted_pos"), "pos").where("false")
     return reduce(DataFrame.unionByName, results)

@@ -166,10 +166,15 @@ def similar_sets(sets: DataFrame, threshold: float, order: Order | None = None)
     """
     order = order or word_order(sets, sets.count())
     rows = sets.select("id", "salt", "tokens")
-    small = rows.mapInPandas(key_rows(order, threshold, True), KEYS).alias("s")
-    large = rows.mapInPandas(key_rows(order, threshold, False), KEYS).alias("l")
+    small, large = (rows.mapInPandas(key_rows(order, threshold, role), KEYS) for role in (True, False))
+    return verified_pairs(small, large, sets, threshold)
+
+
+def verified_pairs(small: DataFrame, large: DataFrame, sets: DataFrame, threshold: float) -> DataFrame:
+    """(id_a, id_b) of the pairs that meet by key and are similar enough."""
     pairs = (
-        small.join(large, F.col("s.key") == F.col("l.key"))
+        small.alias("s")
+        .join(large.alias("l"), F.col("s.key") == F.col("l.key"))
         .where(may_match("s", "l", threshold))
         .where("s.size < l.size or s.id < l.id")
         .select(F.least("s.id", "l.id").alias("id_a"), F.greatest("s.id", "l.id").alias("id_b"))
