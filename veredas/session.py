@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import gc
 import tempfile
 import uuid
 
@@ -59,3 +60,9 @@ def discard(df: DataFrame) -> None:
         folder = jvm.org.apache.hadoop.fs.Path(file).getParent()
         if "/veredas/" in folder.toString():
             folder.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(folder, True)
+
+
+def release(spark: SparkSession) -> None:
+    """Lets Spark delete the shuffle files of finished steps: it waits for the driver's garbage, which a small heap use never makes."""
+    gc.collect()
+    spark.sparkContext._jvm.System.gc()
