@@ -16,7 +16,8 @@ from veredas.functions.text import words
 from veredas.session import materialize
 
 #: Size bands of the smaller set of a pair: (least size, number of segments its words are hashed into).
-BANDS = [(1, 0), (6, 1), (12, 2), (24, 4), (48, 8)]
+#: They grow with the size, so that a set has keys in proportion to its size.
+BANDS = [(1, 0), *((6 << k, 1 << k) for k in range(32))]
 #: A word is frequent if it is in at least this share of the sets: there are at most mean size / share of them.
 FREQUENT_SHARE = 0.001
 MASK = (1 << 63) - 1
@@ -34,7 +35,7 @@ def least_overlap(a: int, b: int, threshold: float) -> int:
 
 
 def band_of(size: int) -> int:
-    return max(i for i, (least, _) in enumerate(BANDS) if size >= least)
+    return (size // 6).bit_length()
 
 
 @dataclass(frozen=True)
@@ -71,6 +72,8 @@ def signatures(tokens: np.ndarray, order: Order, threshold: float, salt: int, sm
     n + 1 shared words, in the global order, among each set's first size − least_overlap + n + 1: so the two sets
     share a segment subset of two of those words (without segments: one word).
     """
+    if threshold < 0.4:
+        raise ValueError("a threshold below 0.4 does not guarantee a common key")
     size, keys = len(tokens), []
     ordered = order.of(tokens)
     least = max(1, math.ceil(threshold * size - 1e-9))
