@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 from veredas.functions.text import collapse_spaces, fold
 from veredas.functions.url import canonical_url
 from veredas.llm.similarity import KEYS, Order, key_rows, may_match, overlap_holds, verified_pairs, word_order, word_set
-from veredas.session import discard, materialize, scratch
+from veredas.session import discard, materialize, release, scratch
 
 #: Bits of one part of the Bloom filter, and its number of hashes.
 PART_BITS, HASHES = 1 << 20, 4
@@ -257,6 +257,7 @@ def accept_delivery(store: FingerprintStore, batch: DataFrame) -> DataFrame:
     known, rest, small, large = None, names, prints.small, prints.large
     if store.tables["exact"]:
         known = materialize(match_store(store, names, prints), "known")
+        release(store.spark)
         rest = materialize(names.join(known.select("pos"), "pos", "left_anti"), "rest")
         open_ids = prints.classes.join(rest.select("content"), "content", "left_semi").select("id")
         small, large = (x.join(open_ids, "id", "left_semi") for x in (small, large))
@@ -316,7 +317,7 @@ def replay(
         part = days[start : start + each]
         now = keyed.where(F.col("day").between(part[0], part[-1])).drop("day")
         results.append(accept_delivery(store, now))
-        spark._jvm.System.gc()  # lets Spark delete the shuffle files of the delivery; the driver's heap alone would not fill for it
+        release(spark)
     if not results:
         return keyed.select(F.col("pos").alias("accepted_pos"), "pos").where("false")
     return reduce(DataFrame.unionByName, results)
