@@ -18,19 +18,17 @@ WINDOWS_PER_PASS = 500_000
 STEP = np.uint64(0x9E3779B97F4A7C15)
 
 
-class WordHashes:
+class WordHashes(dict):
     """64-bit hashes of words, remembered."""
 
-    def __init__(self) -> None:
-        self.known: dict[str, int] = {}
+    def __missing__(self, word: str) -> int:
+        if len(self) > 300_000:
+            self.clear()
+        self[word] = found = xxhash.xxh64_intdigest(word)
+        return found
 
     def of(self, words: list[str]) -> np.ndarray:
-        known = self.known
-        if len(known) > 300_000:
-            known.clear()
-        for w in set(words).difference(known):
-            known[w] = xxhash.xxh64_intdigest(w)
-        return np.fromiter(map(known.__getitem__, words), dtype=np.uint64, count=len(words))
+        return np.fromiter(map(self.__getitem__, words), dtype=np.uint64, count=len(words))
 
 
 def shingles(hashes: np.ndarray, width: int) -> np.ndarray:
