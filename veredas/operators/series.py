@@ -41,7 +41,11 @@ def asof_join(left: DataFrame, right: DataFrame, *, by: list[str], left_at: str,
 
 
 def trailing_streak(rows: DataFrame, key: str, at: str, calendar: DataFrame) -> DataFrame:
-    """(key, streak): how many of the calendar's last dates a key has been without a row; all of them if it never had one."""
+    """(key, streak): how many of the calendar's last dates a key has been without a row. Rows with a null date don't count."""
     last = rows.groupBy(key).agg(F.max(at).alias("last_at"))
-    pairs = last.join(calendar.select(F.col(at).alias("_d")), F.col("_d") > F.col("last_at"), "left")
-    return pairs.groupBy(key).agg(F.count("_d").alias("streak"))
+    days = calendar.select(F.col(at).alias("last_at"), F.lit(1).alias("day")).distinct()
+    # One row a date: small, whatever the table's size.
+    days = days.unionByName(last.select("last_at", F.lit(0).alias("day")).distinct()).groupBy("last_at").agg(F.max("day").alias("day"))
+    later = Window.orderBy(F.desc("last_at")).rowsBetween(Window.unboundedPreceding, -1)
+    days = days.select("last_at", F.coalesce(F.sum("day").over(later), F.lit(0)).alias("streak"))
+    return last.join(days, "last_at").select(key, "streak")

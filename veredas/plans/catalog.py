@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Callable
+from datetime import datetime, timedelta
 
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
@@ -194,7 +195,7 @@ SQL_TITLE_GROUPS = f"""
 
 
 @query(f"""with recursive {SQL_TITLE_GROUPS}
-select 'c-' || left(sha1(string_agg(i.id || ':' || i.pos, '|' order by i.pos)), 10) as cluster_id, count(*) as items,
+select 'c-' || left(sha1(cast(sum(cast('0x' || left(md5(i.id || ':' || i.pos), 15) as bigint)) as varchar)), 10) as cluster_id, count(*) as items,
   count(distinct source_id) as source_count, max(m.group_pos) as group_pos,
   arg_max(coalesce(title, ''), (length(coalesce(title, '')), coalesce(title, ''))) as title,
   case when count(distinct source_id) >= 3 or count(*) >= 5 then 'high' when count(distinct source_id) >= 2 or count(*) >= 2
@@ -204,16 +205,17 @@ from m join cleaned_items i using (pos) group by m.group_pos
 def title_clusters(spark: SparkSession, sf: str) -> DataFrame:
     items = load(spark, sf, "cleaned_items").select("pos", "id", "source_id", F.coalesce("title", F.lit("")).alias("title"))
     joined = title_groups(spark, sf).join(items, "pos")
-    names = F.transform(F.array_sort(F.collect_list(F.struct("pos", "id"))), lambda x: F.concat(x.id, F.lit(":"), x.pos.cast("string")))
+    # The id of a group must not depend on the order of its members, and a group may be large: their hashes are added up.
+    member = F.conv(F.left(F.md5(F.concat_ws(":", "id", "pos")), F.lit(15)), 16, 10).cast("decimal(20,0)")
     grouped = joined.groupBy("group_pos").agg(
-        names.alias("names"),
+        F.sum(member).alias("members"),
         F.count("*").alias("items"),
         F.count_distinct("source_id").alias("source_count"),
         F.max(F.struct(F.length("title").alias("n"), F.col("title").alias("t"))).alias("best"),
     )
     high, medium = (F.col("source_count") >= 3) | (F.col("items") >= 5), (F.col("source_count") >= 2) | (F.col("items") >= 2)
     return grouped.select(
-        F.concat(F.lit("c-"), F.left(F.sha1(F.array_join("names", "|")), F.lit(10))).alias("cluster_id"),
+        F.concat(F.lit("c-"), F.left(F.sha1(F.col("members").cast("string")), F.lit(10))).alias("cluster_id"),
         "items",
         "source_count",
         "group_pos",
@@ -259,11 +261,11 @@ where ts is null or ts between now - interval 14 day and now or (event_type = 's
 """)
 def age_filter(spark: SparkSession, sf: str) -> DataFrame:
     events = load(spark, sf, "events")
-    now = events.agg((F.max("ts") - F.expr("interval 3 days")).alias("now"))
-    rows = events.join(F.broadcast(now))
-    ahead = (F.col("event_type") == "signup") & (F.col("ts") > F.col("now")) & (F.col("ts") <= F.col("now") + F.expr("interval 400 days"))
-    kept = F.col("ts").isNull() | F.col("ts").between(F.col("now") - F.expr("interval 14 days"), F.col("now")) | ahead
-    return rows.where(kept).select("event_id", "ts")
+    # One value, so that the bounds are literals of the scan's filter.
+    now = (events.agg(F.max("ts")).first()[0] or datetime(1970, 1, 1)) - timedelta(days=3)
+    at = lambda **shift: F.lit(now + timedelta(**shift)).cast(events.schema["ts"].dataType)
+    ahead = (F.col("event_type") == "signup") & (F.col("ts") > at()) & (F.col("ts") <= at(days=400))
+    return events.where(F.col("ts").isNull() | F.col("ts").between(at(days=-14), at()) | ahead).select("event_id", "ts")
 
 
 SQL_KIND = """case when regexp_matches(lower(coalesce(url, '')), '^[^?#]*\\.pdf') then 'pdf_link'
