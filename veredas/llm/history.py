@@ -12,9 +12,20 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from veredas.functions.text import collapse_spaces, fold
+from veredas.functions.text import fold_py
 from veredas.functions.url import canonical_url
-from veredas.llm.similarity import KEYS, Order, key_rows, may_match, overlap_holds, verified_pairs, word_order, word_set
+from veredas.llm.similarity import (
+    KEYS,
+    SKETCH,
+    Order,
+    key_rows,
+    may_match,
+    overlap_holds,
+    sketches,
+    verified_pairs,
+    word_order,
+    word_set,
+)
 from veredas.session import discard, materialize, release, scratch
 
 #: Bits of one part of the Bloom filter, and its number of hashes.
@@ -130,13 +141,17 @@ def _prints(sets: DataFrame, order: Order, threshold: float, small: bool) -> Dat
     return sets.select("id", "salt", "tokens").mapInPandas(key_rows(order, threshold, small), KEYS)
 
 
+def _title_form(titles: pd.Series) -> pd.Series:
+    return titles.map(lambda t: " ".join(fold_py(t).split()), na_action="ignore")
+
+
 def keyed_batch(rows: DataFrame, contents: DataFrame, *, pos: str, source: str, url: str, title: str) -> DataFrame:
     """(pos, exact array<string>, content string, tokens): what a row is compared by.
 
     ``exact`` has the keys of its canonical URL and of its source with its title; ``content`` that of its word set.
     ``contents`` is (pos, tokens) of the rows that have a content.
     """
-    name = collapse_spaces(fold(F.col(title).cast("string")))
+    name = F.pandas_udf(_title_form, "string")(F.col(title).cast("string"))
     keyed = rows.select(
         F.col(pos).cast("long").alias("pos"),
         F.concat(F.lit("u"), F.md5(canonical_url(F.col(url).cast("string")))).alias("u"),
@@ -158,11 +173,12 @@ class Fingerprints:
 
     classes: DataFrame
     sets: DataFrame
+    sketches: DataFrame
     small: DataFrame
     large: DataFrame
 
     def discard(self) -> None:
-        for table in (self.classes, self.sets, self.small, self.large):
+        for table in (self.classes, self.sets, self.sketches, self.small, self.large):
             discard(table)
 
 
@@ -171,7 +187,8 @@ def fingerprints(batch: DataFrame, order: Order, threshold: float) -> Fingerprin
     classes = materialize(batch.where("content is not null").groupBy("content").agg(F.min("pos").alias("id")), "classes")
     sets = batch.select(F.col("pos").alias("id"), F.lit(0).cast("long").alias("salt"), "tokens").join(classes.select("id"), "id", "left_semi")
     sets = materialize(sets, "sets")
-    return Fingerprints(classes, sets, *[materialize(_prints(sets, order, threshold, small), "prints") for small in (True, False)])
+    own = materialize(sets.select("id", "tokens").mapInPandas(sketches, SKETCH), "sketches")
+    return Fingerprints(classes, sets, own, *[materialize(_prints(sets, order, threshold, small), "prints") for small in (True, False)])
 
 
 def match_store(store: FingerprintStore, batch: DataFrame, prints: Fingerprints) -> DataFrame:
@@ -181,9 +198,8 @@ def match_store(store: FingerprintStore, batch: DataFrame, prints: Fingerprints)
     found = None
     for mine, theirs in (("small", "large"), ("large", "small")):
         own = prints.small if mine == "small" else prints.large
-        sketches = own.select("id", "size", "low", "high").distinct()
         # Few keys pass, so only those meet the store; their sketches come back by id.
-        likely = store.likely(theirs, own.select("key", "id")).join(sketches, "id")
+        likely = store.likely(theirs, own.select("key", "id")).join(prints.sketches, "id")
         a, b = ("s", "l") if mine == "small" else ("l", "s")
         pairs = likely.alias(a).join(store.read(theirs).alias(b), F.col("s.key") == F.col("l.key"))
         pairs = pairs.where(may_match("s", "l", store.threshold)).select(F.col(f"{a}.id").alias("id"), F.col(f"{b}.id").alias("old"))

@@ -12,7 +12,8 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from veredas.functions.text import words
+from veredas.functions.text import words_py
+from veredas.llm.leaks import WordHashes
 from veredas.session import materialize
 
 #: Size bands of the smaller set of a pair: (least size, number of segments its words are hashed into).
@@ -23,10 +24,15 @@ FREQUENT_SHARE = 0.001
 MASK = (1 << 63) - 1
 
 
+def _word_hashes(texts: pd.Series) -> pd.Series:
+    hashes = WordHashes()
+    return pd.Series([np.unique(hashes.of(words_py(t)).astype(np.int64)) for t in texts])
+
+
 def word_set(*texts: Column) -> Column:
-    """Sorted distinct 64-bit hashes of the words of all texts together."""
+    """Sorted distinct 64-bit hashes of the words of all texts together; in Arrow batches, where folding and splitting cost least."""
     joined = F.concat_ws(" ", *[F.coalesce(t.cast("string"), F.lit("")) for t in texts])
-    return F.array_sort(F.array_distinct(F.transform(words(joined), lambda w: F.xxhash64(w))))
+    return F.pandas_udf(_word_hashes, "array<long>")(joined)
 
 
 def least_overlap(a: int, b: int, threshold: float) -> int:
@@ -107,7 +113,15 @@ def parity(tokens: np.ndarray) -> tuple[int, int]:
     return low - (1 << 64) * (low >> 63), high - (1 << 64) * (high >> 63)
 
 
-KEYS = "key long, id long, size int, low long, high long"
+SKETCH = "id long, size int, low long, high long"
+KEYS = f"key long, {SKETCH}"
+
+
+def sketches(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    """mapInPandas body: size and parity of each set (id, tokens)."""
+    for batch in batches:
+        found = [(len(t), *parity(np.asarray(t, dtype=np.int64))) for t in batch["tokens"]]
+        yield pd.DataFrame(found, columns=["size", "low", "high"]).assign(id=batch["id"].to_numpy())[["id", "size", "low", "high"]]
 
 
 def key_rows(order: Order, threshold: float, small: bool) -> Callable[[Iterator[pd.DataFrame]], Iterator[pd.DataFrame]]:
@@ -201,10 +215,9 @@ def near_duplicates(
     """
     texts = [F.col(t) if isinstance(t, str) else t for t in texts]
     kind = F.lit("") if kind is None else kind
-    tokens = word_set(*texts)
-    made = rows.select(kind.alias("kind"), F.col(pos).cast("long").alias("pos"), tokens.alias("tokens")).where(
-        "pos is not null and kind is not null and size(tokens) > 0"
-    )
+    made = rows.select(kind.alias("kind"), F.col(pos).cast("long").alias("pos"), *[t.alias(f"t{i}") for i, t in enumerate(texts)])
+    made = made.where("pos is not null and kind is not null")
+    made = made.select("kind", "pos", word_set(*[F.col(f"t{i}") for i in range(len(texts))]).alias("tokens")).where("size(tokens) > 0")
     made = materialize(made.withColumn("same", F.md5(F.array_join(F.col("tokens").cast("array<string>"), " "))), "word-sets")
     classes = made.groupBy("kind", "same").agg(F.min("pos").alias("class_pos"))
     members = made.select("kind", "same", "pos").join(classes, ["kind", "same"]).select("kind", "pos", "class_pos")
