@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import math
+from bisect import bisect_right
 from collections.abc import Callable, Iterator
 from dataclasses import dataclass
 from itertools import combinations
@@ -18,7 +19,8 @@ from veredas.session import materialize
 
 #: Size bands of the smaller set of a pair: (least size, number of segments its words are hashed into).
 #: They grow with the size, so that a set has keys in proportion to its size.
-BANDS = [(1, 0), *((6 << k, 1 << k) for k in range(32))]
+BANDS = [(1, 0), (6, 1), *((12 << 2 * k, 2 << 2 * k) for k in range(16))]
+EDGES = [least for least, _ in BANDS]
 #: A word is frequent if it is in at least this share of the sets: there are at most mean size / share of them.
 FREQUENT_SHARE = 0.001
 MASK = (1 << 63) - 1
@@ -32,7 +34,8 @@ def _word_hashes(texts: pd.Series) -> pd.Series:
 def word_set(*texts: Column) -> Column:
     """Sorted distinct 64-bit hashes of the words of all texts together; in Arrow batches, where folding and splitting cost least."""
     joined = F.concat_ws(" ", *[F.coalesce(t.cast("string"), F.lit("")) for t in texts])
-    return F.pandas_udf(_word_hashes, "array<long>")(joined)
+    # Not pushed into filters on its result, which would evaluate it twice.
+    return F.pandas_udf(_word_hashes, "array<long>").asNondeterministic()(joined)
 
 
 def least_overlap(a: int, b: int, threshold: float) -> int:
@@ -41,7 +44,7 @@ def least_overlap(a: int, b: int, threshold: float) -> int:
 
 
 def band_of(size: int) -> int:
-    return (size // 6).bit_length()
+    return bisect_right(EDGES, size) - 1
 
 
 @dataclass(frozen=True)
