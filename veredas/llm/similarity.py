@@ -19,7 +19,7 @@ from veredas.session import materialize
 
 #: Size bands of the smaller set of a pair: (least size, number of segments its words are hashed into).
 #: They grow with the size, so that a set has keys in proportion to its size.
-BANDS = [(1, 0), (6, 1), *((12 << 2 * k, 2 << 2 * k) for k in range(16))]
+BANDS = [(1, 0), (6, 1), (12, 2), (24, 4), *((48 << 2 * k, 8 << 2 * k) for k in range(15))]
 EDGES = [least for least, _ in BANDS]
 #: A word is frequent if it is in at least this share of the sets: there are at most mean size / share of them.
 FREQUENT_SHARE = 0.001
