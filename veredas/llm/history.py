@@ -45,54 +45,61 @@ def _places(keys: np.ndarray) -> np.ndarray:
 
 
 def screen(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-    """Keeps the key rows that their part of the filter may hold; a part's bits come before its rows."""
+    """Keeps the keys that their part of the filter may hold; a part's bits (even slots) come right before its keys."""
     part, bits = -1, None
     for batch in batches:
         keep = np.zeros(len(batch), dtype=bool)
-        parts = batch["part"].to_numpy()
-        bounds = [0, *(np.flatnonzero(np.diff(parts)) + 1).tolist(), len(parts)]
+        slots, keys = batch["slot"].to_numpy(), batch["key"].to_numpy(dtype=np.int64)
+        bounds = [0, *(np.flatnonzero(np.diff(slots)) + 1).tolist(), len(slots)]
         for start, end in zip(bounds, bounds[1:]):
             if start == end:
                 continue
-            if parts[start] != part:
-                part, bits = int(parts[start]), None
-            has_bits = batch["bits"].iloc[start:end].notna().to_numpy()
-            for i in np.flatnonzero(has_bits):
-                more = np.frombuffer(batch["bits"].iloc[start + i], dtype=np.uint8)
-                bits = more if bits is None else bits | more
-            if bits is None:
-                continue
-            places = _places(batch["key"].iloc[start:end].to_numpy(dtype=np.int64))
-            hit = np.ones(end - start, dtype=bool)
-            for row in places:
-                hit &= (bits[row >> 3] >> (row & 7).astype(np.uint8) & 1).astype(bool)
-            keep[start:end] = hit & ~has_bits
+            if slots[start] >> 1 != part:
+                part, bits = int(slots[start] >> 1), None
+            if not slots[start] & 1:
+                for x in batch["bits"].iloc[start:end]:
+                    more = np.frombuffer(x, dtype=np.uint8)
+                    bits = more if bits is None else bits | more
+            elif bits is not None:
+                hit = np.ones(end - start, dtype=bool)
+                for row in _places(keys[start:end]):
+                    hit &= (bits[row >> 3] >> (row & 7).astype(np.uint8) & 1).astype(bool)
+                keep[start:end] = hit
         yield batch.loc[keep, ["key", "id"]]
 
 
+#: Parts that a task fills before it writes them; a part may be written in several pieces, which count together.
+PARTS_AT_ONCE = 256
+
+
 def fill(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-    """The parts' bits with the keys of their rows set; rows come ordered by part."""
-    part, bits = -1, np.zeros(0, dtype=np.uint8)
+    """The bits of each part with the bits of its keys set, in whatever order they come."""
+    held: dict[int, np.ndarray] = {}
+
+    def out() -> pd.DataFrame:
+        rows = [(part, bits.tobytes()) for part, bits in held.items()]
+        held.clear()
+        return pd.DataFrame(rows, columns=["part", "bits"])
+
     for batch in batches:
-        done = []
-        parts = batch["part"].to_numpy()
-        bounds = [0, *(np.flatnonzero(np.diff(parts)) + 1).tolist(), len(parts)]
+        order = np.argsort(batch["slot"].to_numpy(), kind="stable")
+        slots, keys, olds = batch["slot"].to_numpy()[order], batch["key"].to_numpy(dtype=np.int64)[order], batch["bits"].to_numpy()[order]
+        bounds = [0, *(np.flatnonzero(np.diff(slots)) + 1).tolist(), len(slots)]
         for start, end in zip(bounds, bounds[1:]):
             if start == end:
                 continue
-            if parts[start] != part:
-                if part >= 0:
-                    done.append((part, bits.tobytes()))
-                part, bits = int(parts[start]), np.zeros(PART_BITS // 8, dtype=np.uint8)
-            old = batch["bits"].iloc[start:end]
-            for x in old[old.notna()]:
-                bits |= np.frombuffer(x, dtype=np.uint8)
-            keys = batch["key"].iloc[start:end][old.isna()].to_numpy(dtype=np.int64)
-            for row in _places(keys):
-                np.bitwise_or.at(bits, row >> 3, np.left_shift(np.uint8(1), (row & 7).astype(np.uint8)))
-        yield pd.DataFrame(done, columns=["part", "bits"])
-    if part >= 0:
-        yield pd.DataFrame([(part, bits.tobytes())], columns=["part", "bits"])
+            part = int(slots[start] >> 1)
+            if part not in held:
+                if len(held) >= PARTS_AT_ONCE:
+                    yield out()
+                held[part] = np.zeros(PART_BITS // 8, dtype=np.uint8)
+            if slots[start] & 1:
+                for row in _places(keys[start:end]):
+                    np.bitwise_or.at(held[part], row >> 3, np.left_shift(np.uint8(1), (row & 7).astype(np.uint8)))
+            else:
+                for x in olds[start:end]:
+                    held[part] |= np.frombuffer(x, dtype=np.uint8)
+    yield out()
 
 
 class FingerprintStore:
@@ -117,23 +124,23 @@ class FingerprintStore:
         return self.spark.read.parquet(*self.tables[table]) if self.tables[table] else None
 
     def routed(self, role: str, keys: DataFrame) -> DataFrame:
-        """Keys (key, id) and the bits of the filter, by part, the bits first."""
-        part = F.pmod(F.col("key"), F.lit(self.parts[role])).cast("int").alias("part")
-        both = keys.select(part, F.lit(None).cast("binary").alias("bits"), "key", "id")
+        """Keys (key, id) and the bits of the filter, by part: slot is twice the part, and one more for keys."""
+        slot = F.pmod(F.col("key"), F.lit(self.parts[role])) * 2 + 1
+        both = keys.select(slot.alias("slot"), F.lit(None).cast("binary").alias("bits"), "key", "id")
         if role in self.filters:
             zero = [F.lit(0).cast("long").alias(c) for c in ("key", "id")]
-            both = self.spark.read.parquet(self.filters[role]).select("part", "bits", *zero).unionByName(both)
-        return both.repartition("part").sortWithinPartitions("part", F.col("bits").isNull())
+            known = self.spark.read.parquet(self.filters[role])
+            both = known.select((F.col("part").cast("long") * 2).alias("slot"), "bits", *zero).unionByName(both)
+        return both.repartition(F.shiftright("slot", 1))
 
     def likely(self, role: str, keys: DataFrame) -> DataFrame:
         """The keys (key, id) that the filter does not rule out."""
-        return self.routed(role, keys).mapInPandas(screen, "key long, id long")
+        return self.routed(role, keys).sortWithinPartitions("slot").mapInPandas(screen, "key long, id long")
 
     def extend_filter(self, role: str, keys: DataFrame) -> None:
         path = f"{self.folder}/filter-{role}/{uuid.uuid4().hex}"
-        self.routed(role, keys.withColumn("id", F.lit(0).cast("long"))).select("part", "bits", "key").mapInPandas(
-            fill, "part int, bits binary"
-        ).write.parquet(path)
+        rows = self.routed(role, keys.withColumn("id", F.lit(0).cast("long"))).select("slot", "bits", "key")
+        rows.mapInPandas(fill, "part int, bits binary").write.parquet(path)
         self.filters[role] = path
 
 
