@@ -12,10 +12,10 @@ import pytest
 sys.path.insert(0, str(Path(__file__).resolve().parent.parent))
 
 from tools.compare import plain  # noqa: E402
-from veredas.plans import catalog, problems  # noqa: E402
+from veredas.plans import catalog, catalog_text, problems  # noqa: E402
 
-QUERIES = {**problems.QUERIES, **catalog.QUERIES}
-ORACLES = {**problems.ORACLES, **catalog.ORACLES}
+QUERIES = {**problems.QUERIES, **catalog.QUERIES, **catalog_text.QUERIES}
+ORACLES = {**problems.ORACLES, **catalog.ORACLES, **catalog_text.ORACLES}
 
 
 @pytest.fixture(scope="module")

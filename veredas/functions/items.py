@@ -99,3 +99,9 @@ def number_in_series(text: Column) -> Column:
         .otherwise(bare)
         .try_cast("double")
     )
+
+
+def stable_id(source: Column, url_key: Column, title: Column) -> Column:
+    """16 hex digits that depend on the source, the canonical URL and the title alone; null parts count as empty."""
+    parts = [F.coalesce(c, F.lit("")) for c in (source, url_key, title)]
+    return F.left(F.sha1(F.concat_ws("|", *parts)), F.lit(16))

@@ -9,6 +9,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from veredas.functions.items import (
+    ACT_PATTERN,
     STOPWORDS,
     jaccard,
     legal_acts,
@@ -626,7 +627,15 @@ def metadata_fields(spark: SparkSession, sf: str) -> DataFrame:
     return load(spark, sf, "raw_items").select(parsed.alias("m")).groupBy("m.extraction", "m.attempt").agg(F.count("*").alias("items"))
 
 
-@query()
+_ACT_PARTS = ", ".join(f"unnest(regexp_extract_all(t, '{ACT_PATTERN}', {i})) as {n}" for i, n in ((1, "k"), (2, "n"), (3, "y")))
+
+
+@query(f"""
+with a as (select doc_id, {_ACT_PARTS} from (select doc_id, trim(regexp_replace(text, '\\s+', ' ', 'g')) as t from documents)), c as (
+  select doc_id, trim(regexp_replace(strip_accents(lower(k)), '[-\\s.]+', ' ', 'g')) as k, regexp_replace(upper(replace(n, '/', '-')), '(^|-)0+([0-9])', '\\1\\2', 'g') as n, y from a
+)
+select distinct doc_id, case when starts_with(k, 'res') then 'resolucion' else k end as kind, n as number, y as year from c
+""")
 def legal_act_mentions(spark: SparkSession, sf: str) -> DataFrame:
     acts = load(spark, sf, "documents").select("doc_id", F.explode(legal_acts(F.col("text"))).alias("a"))
     return acts.select("doc_id", "a.kind", "a.number", "a.year")
