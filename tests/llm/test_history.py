@@ -45,8 +45,9 @@ def made(seed, n):
     return raw, contents
 
 
-@pytest.mark.parametrize(("seed", "deliveries"), [(1, 1), (2, 2), (2, 4)])
-def test_same_as_taking_rows_one_by_one(spark, seed, deliveries):
+@pytest.mark.parametrize(("seed", "deliveries", "together"), [(1, 1, 0), (2, 2, 300_000), (2, 4, 40)])
+def test_same_as_taking_rows_one_by_one(spark, monkeypatch, seed, deliveries, together):
+    monkeypatch.setattr("veredas.llm.history.SETTLED_TOGETHER", together)
     raw, contents = made(seed, 240)
     rows = spark.createDataFrame([(*r, "clash", 1, 2) for r in raw], RAW)
     texts = spark.createDataFrame(contents, "pos long, text string")
@@ -60,3 +61,10 @@ def test_empty_tables_and_one_hot_url(spark):
     rows = spark.createDataFrame([(f"d{i // 100}", i, "s", "http://a.example/x", f"t{i}", None, None, None) for i in range(300)], RAW)
     out = replay(rows, texts, content_texts=["text"])
     assert sorted(tuple(r) for r in out.collect()) == [(0, i) for i in range(1, 300)]
+
+
+def test_long_chain_ends(spark):
+    texts = [(i, " ".join(f"w{k}" for k in range(i, i + 8))) for i in range(120)]
+    rows = spark.createDataFrame([("d", i, "s", None, None, None, None, None) for i in range(120)], RAW)
+    out = replay(rows, spark.createDataFrame(texts, "pos long, text string"), content_texts=["text"], threshold=0.6, deliveries=1)
+    assert sorted(tuple(r) for r in out.collect()) == brute([("d", i, "s", None, None) for i in range(120)], texts, 0.6)

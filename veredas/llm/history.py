@@ -224,36 +224,63 @@ def match_store(store: FingerprintStore, batch: DataFrame, prints: Fingerprints)
     return exact.unionByName(near).groupBy("pos").agg(F.min("accepted_pos").alias("accepted_pos"))
 
 
+#: Rows of (row, key) that one task settles in order; more go through rounds until so few are open.
+SETTLED_TOGETHER = 300_000
+
+
+def _settle(batch: pd.DataFrame) -> pd.DataFrame:
+    """Takes the open rows in order of pos: refused if one of their keys has been taken, else accepted with their own keys."""
+    taken = {k: t for k, t in zip(batch["key"], batch["taken"]) if t >= 0}
+    batch = batch.sort_values("pos", kind="stable")
+    keys, own, status = batch["key"].to_numpy(), batch["own"].to_numpy(), []
+    positions, starts = np.unique(batch["pos"].to_numpy(), return_index=True)
+    for pos, start, end in zip(positions.tolist(), starts, [*starts[1:], len(batch)]):
+        if any(taken.get(k, pos) < pos for k in keys[start:end]):
+            status.append(2)
+        else:
+            status.append(1)
+            for k, mine in zip(keys[start:end], own[start:end]):
+                if mine:
+                    taken[k] = min(pos, taken.get(k, pos))
+    return pd.DataFrame({"pos": positions, "status": np.asarray(status, dtype=np.int32)})
+
+
 def resolve(rows: DataFrame, links: DataFrame) -> DataFrame:
     """(pos, accepted_pos) of every row refused among ``rows`` themselves, taken in order of pos.
 
     ``rows`` is (pos, exact, content); rows match by a common key or by ``links`` (a, b) between contents. A row is accepted once
     no earlier row that matches it is left undecided or accepted, and refused once one is accepted; each round decides the
-    first of every chain, by the least pos of each key alone, so no group of rows with one key is collected or paired.
+    first of every chain, by the least pos of each key alone, so no group of rows with one key is collected or paired. Once
+    at most ``SETTLED_TOGETHER`` keys of undecided rows are left, one task takes these in order, so long chains end too.
     """
     both = links.select("a", "b").unionByName(links.select(F.col("b").alias("a"), F.col("a").alias("b")))
     own = rows.select("pos", F.explode(F.filter(F.concat("exact", F.array("content")), lambda x: x.isNotNull())).alias("key"))
     shared = own.groupBy("key").agg(F.count("*").alias("n")).where("n > 1").select("key")
     linked = both.select(F.col("a").alias("key")).distinct()
     kept = materialize(own.join(shared.unionByName(linked).distinct(), "key", "left_semi"), "own-keys")
-    watched = kept.unionByName(kept.join(both, F.col("key") == F.col("a")).select("pos", F.col("b").alias("key")))
-    watched = materialize(watched.distinct(), "watched")
+    near = kept.join(both, F.col("key") == F.col("a")).select("pos", F.col("b").alias("key"), F.lit(0).alias("own"))
+    watched = kept.select("pos", "key", F.lit(1).alias("own")).unionByName(near)
+    watched = materialize(watched.groupBy("pos", "key").agg(F.max("own").alias("own")), "watched")
     state = materialize(kept.select("pos").distinct().withColumn("status", F.lit(0)), "state")
-    while state.where("status = 0").limit(1).count():
-        least = (
-            kept.join(state.where("status < 2"), "pos")
-            .groupBy("key")
-            .agg(F.min("pos").alias("first"), F.min(F.when(F.col("status") == 1, F.col("pos"))).alias("taken"))
-        )
-        seen = (
-            watched.join(state.where("status = 0").select("pos"), "pos")
-            .join(least, "key")
-            .groupBy("pos")
-            .agg(F.min("first").alias("first"), F.min("taken").alias("taken"))
-        )
-        decided = seen.select(
-            "pos", F.when(F.col("taken") < F.col("pos"), 2).when(F.col("first") >= F.col("pos"), 1).otherwise(0).alias("now")
-        )
+    while True:
+        undecided = state.where("status = 0").select("pos")
+        waiting = watched.join(undecided, "pos")
+        count = waiting.count()
+        if not count:
+            break
+        taken = kept.join(state.where("status = 1"), "pos").groupBy("key").agg(F.min("pos").alias("taken"))
+        if count <= SETTLED_TOGETHER:
+            asked = waiting.join(taken, "key", "left").select("pos", "key", "own", F.coalesce("taken", F.lit(-1)).alias("taken"))
+            decided = asked.withColumn("all", F.lit(1)).groupBy("all").applyInPandas(_settle, "pos long, status int")
+            decided = decided.withColumnRenamed("status", "now")
+        else:
+            first = kept.join(undecided, "pos").groupBy("key").agg(F.min("pos").alias("first"))
+            seen = waiting.join(first, "key", "left").join(taken, "key", "left")
+            seen = seen.groupBy("pos").agg(F.min("first").alias("first"), F.min("taken").alias("taken"))
+            decided = seen.select(
+                "pos",
+                F.when(F.col("taken") < F.col("pos"), 2).when(F.coalesce("first", F.col("pos")) >= F.col("pos"), 1).otherwise(0).alias("now"),
+            )
         after = state.join(decided, "pos", "left").select("pos", F.coalesce("now", "status").cast("int").alias("status"))
         after = materialize(after, "state")
         discard(state)
