@@ -71,4 +71,26 @@ QUERIES = {
     "p10_found": p10_found,
     "p10_rates": p10_rates,
 }
-ORACLES: dict[str, str] = {}
+WORDS_SQL = "regexp_extract_all(strip_accents(lower({0})), '[\\p{{L}}\\p{{N}}]+')"
+
+P2_SQL = f"""
+with r as (
+  select 'item' as kind, pos, {WORDS_SQL.format("concat_ws(' ', title, clean_text)")} as w from cleaned_items
+  union all select 'cluster', pos, {WORDS_SQL.format("array_to_string(member_titles, ' ')")} from clusters
+), s as (select kind, pos, list_distinct(w) as w, len(list_distinct(w)) as n from r), t as (select kind, pos, n, unnest(w) as token from s)
+select a.kind, a.pos as pos_a, b.pos as pos_b from t a join t b on a.kind = b.kind and a.token = b.token and a.pos < b.pos
+group by a.kind, a.pos, b.pos, a.n, b.n having count(*) * 10 >= 6 * (a.n + b.n - count(*))
+"""
+
+P9_SQL = f"""
+with i as (select item_id, {WORDS_SQL.format("text")} as w from eval_items where text is not null), p as (
+  select item_id, w, least(12, len(w)) as n from i where len(w) > 0
+), q as (
+  select distinct item_id, n, array_to_string(w[k : k + n - 1], ' ') as passage from (select item_id, w, n, unnest(range(1, len(w) - n + 2)) as k from p)
+), d as (select doc_id, {WORDS_SQL.format("text")} as w from documents where text is not null), e as (
+  select doc_id, w, n, unnest(range(1, len(w) - n + 2)) as k from d, (select distinct n from q) where len(w) >= n
+)
+select distinct doc_id, item_id from (select doc_id, n, array_to_string(w[k : k + n - 1], ' ') as passage from e) join q using (n, passage)
+"""
+
+ORACLES: dict[str, str] = {"p2_found": P2_SQL, "p9_found": P9_SQL}
