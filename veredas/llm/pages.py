@@ -231,6 +231,16 @@ def article_node(nodes: list[Node], headline: int | None) -> int:
     return max(path, key=sums.__getitem__)
 
 
+def above_header(pieces: list[list[tuple[int, str, bool]]], shown: list[str]) -> int | None:
+    last = None
+    for line, visible in zip(pieces, shown):
+        if visible.strip():
+            if is_within(visible, plain_form(visible)):
+                return last
+            last = line[0][0]
+    return None
+
+
 def main_lines(text: str | None, title: str | None) -> list[tuple[int, str]]:
     """(line number from 1, visible text) of the article's own lines."""
     if not text:
@@ -242,6 +252,8 @@ def main_lines(text: str | None, title: str | None) -> list[tuple[int, str]]:
         headline = next((i for i, n in enumerate(nodes) if n.tag == "h1" and n.chars), None)
         if headline is None and wanted:
             headline = next((p[0][0] for p, s in zip(pieces, shown) if p and plain_form(s) == wanted), None)
+        if headline is None:  # the line above the first byline or date
+            headline = above_header(pieces, shown)
         root = article_node(nodes, headline)
         inside = [False] * len(nodes)
         inside[root] = True
@@ -253,7 +265,7 @@ def main_lines(text: str | None, title: str | None) -> list[tuple[int, str]]:
                 continue
             linked = sum(len(s) for _, s, link in line if link)
             form = plain_form(visible)
-            if 2 * linked > len(visible) or is_within(visible, form) or headline is None and AFTER_RE.match(form):
+            if 2 * linked > len(visible) or is_within(visible, form) or AFTER_RE.match(form):
                 continue
             found.append((number, visible))
         return found
@@ -263,7 +275,8 @@ def main_lines(text: str | None, title: str | None) -> list[tuple[int, str]]:
     if start is None and any(AFTER_RE.match(f) for f in forms):  # a page as plain text, without its title
         header = next((i for i, (s, f) in enumerate(zip(shown, forms)) if is_within(s, f)), None)
         before = [i for i in range(header or 0) if forms[i]]
-        start = before[-1] if before else None
+        body = (i for i, f in enumerate(forms) if len(f.split()) > 4 and "|" not in f and not AFTER_RE.match(f))
+        start = before[-1] if before else next(body, None)
     last = len(shown)
     if start is not None:
         last = next((i for i in range(start, len(shown)) if AFTER_RE.match(forms[i])), last)
