@@ -7,7 +7,7 @@ import pytest
 
 from veredas.functions.text import fold_py, words_py
 from veredas.functions.url import canonical_url_py
-from veredas.llm.history import replay
+from veredas.llm.history import growing, replay
 
 RAW = "run_date string, pos long, source_id string, url string, title string, content string, tokens int, day int"
 
@@ -68,3 +68,12 @@ def test_long_chain_ends(spark):
     rows = spark.createDataFrame([("d", i, "s", None, None, None, None, None) for i in range(120)], RAW)
     out = replay(rows, spark.createDataFrame(texts, "pos long, text string"), content_texts=["text"], threshold=0.6, deliveries=1)
     assert sorted(tuple(r) for r in out.collect()) == brute([("d", i, "s", None, None) for i in range(120)], texts, 0.6)
+
+
+def test_growing_parts_hold_all_days():
+    for n in (0, 1, 2, 5, 31):
+        days = [f"d{i:02d}" for i in range(n)]
+        for deliveries, growth in ((1, 4.0), (2, 4.0), (3, 1.0), (40, 2.0)):
+            parts = growing(days, deliveries, growth)
+            assert sum(parts, []) == days and all(parts) and len(parts) <= deliveries
+    assert [len(p) for p in growing([str(i) for i in range(30)], 2, 4.0)] == [6, 24]

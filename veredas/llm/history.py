@@ -336,6 +336,14 @@ def accept_delivery(store: FingerprintStore, batch: DataFrame) -> DataFrame:
     return refused.select("accepted_pos", "pos")
 
 
+def growing(days: list[str], deliveries: int, growth: float) -> list[list[str]]:
+    """``days`` in order as that many parts or fewer, each about ``growth`` times as long as the one before; none is empty."""
+    total = sum(growth**k for k in range(deliveries))
+    ends = [round(len(days) * sum(growth**k for k in range(i + 1)) / total) for i in range(deliveries)]
+    parts = [days[start:end] for start, end in zip([0, *ends], ends)]
+    return [part for part in parts if part]
+
+
 def replay(
     rows: DataFrame,
     contents: DataFrame,
@@ -348,11 +356,13 @@ def replay(
     content_texts: list[str],
     threshold: float = 0.8,
     deliveries: int = 2,
+    growth: float = 4.0,
 ) -> DataFrame:
     """(accepted_pos, pos) of all refused rows, the batches taken in order through a fresh store.
 
-    The batches, whose order pos must follow, come in ``deliveries`` deliveries of as many batches each; their number changes the
-    work, never the result. Rows with a null batch or pos are left out.
+    The batches, whose order pos must follow, come in ``deliveries`` deliveries, each with about ``growth`` times as many batches
+    as the one before; this changes the work, never the result. The first one is small because its rows can only be compared with each
+    other: what is accepted from a large group of near copies then refuses the rest of it in the store, not pair by pair. Rows with a null batch or pos are left out.
     """
     spark = rows.sparkSession
     tokens = contents.select(F.col(pos).cast("long").alias("pos"), word_set(*[F.col(c) for c in content_texts]).alias("tokens"))
@@ -362,9 +372,7 @@ def replay(
     store = FingerprintStore(spark, scratch(spark, "store"), threshold, contents.count())
     keyed = materialize(keyed.join(dates, "pos"), "keyed")
     results = []
-    each = -(-len(days) // deliveries) if days else 1
-    for start in range(0, len(days), each):
-        part = days[start : start + each]
+    for part in growing(days, deliveries, growth):
         now = keyed.where(F.col("day").between(part[0], part[-1])).drop("day")
         results.append(accept_delivery(store, now))
         release(spark)
