@@ -106,6 +106,8 @@ class FingerprintStore:
     """What has been accepted, in a folder that all executors share: exact keys, word sets, their fingerprints and the filter.
 
     A delivery adds files and never rewrites the others; the filter, which is small beside the fingerprints, is written anew.
+    Fingerprints are written when a delivery is read, once for each word set. ``sets`` names those that were accepted; what belongs to a
+    refused row finds no set there and so matches nothing.
     """
 
     def __init__(self, spark: SparkSession, folder: str, threshold: float, expected_sets: int) -> None:
@@ -115,10 +117,14 @@ class FingerprintStore:
         self.filters: dict[str, str] = {}
         self.order: Order | None = None
 
-    def add(self, table: str, rows: DataFrame) -> None:
+    def write(self, table: str, rows: DataFrame) -> tuple[str, DataFrame]:
+        """Writes rows of a table; they count once their path is in ``tables``."""
         path = f"{self.folder}/{table}/{uuid.uuid4().hex}"
         rows.write.parquet(path)
-        self.tables[table].append(path)
+        return path, self.spark.read.parquet(path)
+
+    def add(self, table: str, rows: DataFrame) -> None:
+        self.tables[table].append(self.write(table, rows)[0])
 
     def read(self, table: str) -> DataFrame | None:
         return self.spark.read.parquet(*self.tables[table]) if self.tables[table] else None
@@ -183,19 +189,22 @@ class Fingerprints:
     sketches: DataFrame
     small: DataFrame
     large: DataFrame
+    paths: dict[str, str]
 
     def discard(self) -> None:
-        for table in (self.classes, self.sets, self.sketches, self.small, self.large):
+        """Deletes what only the delivery needed."""
+        for table in (self.classes, self.sets, self.sketches):
             discard(table)
 
 
-def fingerprints(batch: DataFrame, order: Order, threshold: float) -> Fingerprints:
-    """Each word set once, by the least pos that has it; the key rows are written, as they are read several times."""
+def fingerprints(store: FingerprintStore, batch: DataFrame) -> Fingerprints:
+    """Each word set once, by the least pos that has it; its key rows go to the store's folder, from where all steps read them."""
     classes = materialize(batch.where("content is not null").groupBy("content").agg(F.min("pos").alias("id")), "classes")
     sets = batch.select(F.col("pos").alias("id"), F.lit(0).cast("long").alias("salt"), "tokens").join(classes.select("id"), "id", "left_semi")
     sets = materialize(sets, "sets")
     own = materialize(sets.select("id", "tokens").mapInPandas(sketches, SKETCH), "sketches")
-    return Fingerprints(classes, sets, own, *[materialize(_prints(sets, order, threshold, small), "prints") for small in (True, False)])
+    small, large = (store.write(role, _prints(sets, store.order, store.threshold, role == "small")) for role in ("small", "large"))
+    return Fingerprints(classes, sets, own, small[1], large[1], {"small": small[0], "large": large[0]})
 
 
 def match_store(store: FingerprintStore, batch: DataFrame, prints: Fingerprints) -> DataFrame:
@@ -302,7 +311,7 @@ def accept_delivery(store: FingerprintStore, batch: DataFrame) -> DataFrame:
     if store.order is None:
         contents = batch.where("content is not null").select("tokens")
         store.order = word_order(contents, contents.count())
-    prints = fingerprints(batch, store.order, store.threshold)
+    prints = fingerprints(store, batch)
     names = batch.select("pos", "exact", "content")
     known, rest, small, large = None, names, prints.small, prints.large
     if store.tables["exact"]:
@@ -325,10 +334,9 @@ def accept_delivery(store: FingerprintStore, batch: DataFrame) -> DataFrame:
     # Of one word set at most one row of a delivery is accepted.
     taken = accepted.where("content is not null").select("content", "pos").join(prints.classes, "content")
     store.add("sets", taken.select("id", "pos").join(prints.sets.select("id", "tokens"), "id"))
-    ids = store.spark.read.parquet(store.tables["sets"][-1]).select("id")
     for role, rows in (("small", prints.small), ("large", prints.large)):
-        store.add(role, rows.join(ids, "id", "left_semi"))
-        store.extend_filter(role, store.spark.read.parquet(store.tables[role][-1]).select("key"))
+        store.tables[role].append(prints.paths[role])
+        store.extend_filter(role, rows.select("key"))
     for table in (links, rest if known is not None else links):
         discard(table)
     prints.discard()
