@@ -319,7 +319,9 @@ def accept_delivery(store: FingerprintStore, batch: DataFrame) -> DataFrame:
         release(store.spark)
         rest = materialize(names.join(known.select("pos"), "pos", "left_anti"), "rest")
         open_ids = prints.classes.join(rest.select("content"), "content", "left_semi").select("id")
-        small, large = (x.join(open_ids, "id", "left_semi") for x in (small, large))
+        # Made again for the open sets: cheaper than to shuffle all key rows by id.
+        open_sets = materialize(prints.sets.join(open_ids, "id", "left_semi"), "open-sets")
+        small, large = (_prints(open_sets, store.order, store.threshold, role) for role in (True, False))
     content_of = prints.classes.select("id", "content")
     links = materialize(
         verified_pairs(small, large, prints.sets, store.threshold)
