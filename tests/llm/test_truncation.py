@@ -76,3 +76,15 @@ def test_a_copy_that_goes_on_decides(spark):
     rows = [(1, long + "\nCurtontar Korhepola", "s"), (2, long + "\nCurtontar Korhepola dijo que el saldo es alto.", "s")]
     out = {r.doc_id: (r.truncated, r.evidence) for r in truncated_texts(spark.createDataFrame(rows, "doc_id long, text string, source string")).collect()}
     assert out == {1: (True, "copy"), 2: (False, "closing")}
+
+
+def test_words_are_counted_over_all_batches(spark):
+    rows = [(i, f"Nota {i} de la alcaldía.", "s") for i in range(10)]
+    rows += [(i, f"La alcaldía pagó la obra {i}.", "s") for i in range(10, 60)]
+    rows += [(60, BODY + "\nen la alcaldía", "s")]
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "1")
+    try:
+        out = truncated_texts(spark.createDataFrame(rows, "doc_id long, text string, source string"))
+        assert [r.doc_id for r in out.where("truncated").collect()] == [60]
+    finally:
+        spark.conf.unset("spark.sql.execution.arrow.maxRecordsPerBatch")

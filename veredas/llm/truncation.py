@@ -154,14 +154,13 @@ def _ends(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         out = pd.DataFrame(rows, columns=["size", "state", "tail", "last_words"])
         out["doc_id"], out["source"], out["bands"] = batch["doc_id"].to_numpy(), batch["source"].to_numpy(), bands
         out["first"], out["last"] = _signed(firsts), _signed(lasts)
+        # Words that close nothing here are counted too: they may close sentences of other batches.
         seen, totals = np.unique(np.concatenate(every), return_counts=True)
-        ends = np.sort(np.asarray([hashes[w] for w in closes], dtype=np.uint64))
-        kept = np.isin(seen, ends)
         closed = dict(zip((hashes[w] for w in closes), closes.values()))
         parts = {
-            "words": np.concatenate([seen[kept].astype(np.int64), _signed([opening_key(w) for w in opens])]),
-            "closes": np.asarray([closed[h] for h in seen[kept].tolist()] + [names[w] for w in opens], dtype=np.int64),
-            "totals": np.concatenate([totals[kept], np.asarray(list(opens.values()), dtype=np.int64)]),
+            "words": np.concatenate([seen.astype(np.int64), _signed([opening_key(w) for w in opens])]),
+            "closes": np.asarray([closed.get(h, 0) for h in seen.tolist()] + [names[w] for w in opens], dtype=np.int64),
+            "totals": np.concatenate([totals, np.asarray(list(opens.values()), dtype=np.int64)]),
         }
         none = np.empty(0, dtype=np.int64)
         for name, values in parts.items():
