@@ -48,6 +48,13 @@ def test_anchors_and_text(spark):
     assert [r[0] for r in states.select(page_state(F.col("b"))).collect()] == ["blocked", "shell", "page", "page"]
 
 
+def test_shell_mark_after_a_long_head(spark):
+    head = "<html><head>" + "<meta name='a' content='b'>" * 200 + "</head><body>"
+    bodies = [head + "<app-root></app-root>", head + "Access denied", head + "<app-root></app-root>" + "x" * 20_000]
+    states = spark.createDataFrame([(i, b) for i, b in enumerate(bodies)], "i int, b string").orderBy("i")
+    assert [r[0] for r in states.select(page_state(F.col("b"))).collect()] == ["shell", "page", "page"]
+
+
 def workbook() -> bytes:
     out = io.BytesIO()
     with zipfile.ZipFile(out, "w") as z:

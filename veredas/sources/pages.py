@@ -108,7 +108,9 @@ def strip_html(body: Column) -> Column:
 
 
 def page_state(body: Column) -> Column:
-    """``blocked`` if the first 2048 characters show a check for robots, ``shell`` for a short page of a script application, else ``page``."""
-    head = F.lower(F.left(F.coalesce(body, F.lit("")), F.lit(2048)))
+    """``blocked`` if the first 2048 characters show a check for robots, ``shell`` for a short page with the mark of a script application
+    anywhere, else ``page``."""
+    whole = F.coalesce(body, F.lit(""))
+    head = F.lower(F.left(whole, F.lit(2048)))
     blocked = head.rlike("captcha|access denied|attention required|are you a robot|request unsuccessful|visita no sea autom")
-    return F.when(blocked, "blocked").when(head.contains("<app-root") & (F.length(body) < 20_000), "shell").otherwise("page")
+    return F.when(blocked, "blocked").when(F.lower(whole).contains("<app-root") & (F.length(body) < 20_000), "shell").otherwise("page")
