@@ -88,3 +88,24 @@ def test_words_are_counted_over_all_batches(spark):
         assert [r.doc_id for r in out.where("truncated").collect()] == [60]
     finally:
         spark.conf.unset("spark.sql.execution.arrow.maxRecordsPerBatch")
+
+
+@pytest.mark.parametrize("variant", ["longer", "same tail"])
+def test_a_copy_behind_longer_texts_of_its_buckets(spark, variant):
+    words = [f"palabra{i}" for i in range(240)]
+    name, more = "\nCurtontar Korhepola", "\nCurtontar Korhepola dijo que el saldo es alto."
+    rows = [(1, " ".join(words) + name, "s"), (2, " ".join(words) + more, "s")]
+    for k in range(200):
+        if variant == "longer":
+            text = " ".join(words + [f"otra{k}x{i}" for i in range(66)]) + "."
+        else:
+            text = " ".join(words[:k] + [f"otra{k}x{i}" for i in range(27)] + words[k + 27 :]) + more + " Fue ayer."
+        rows.append((10 + k, text, "s"))
+    out = truncated_texts(spark.createDataFrame(rows, "doc_id long, text string, source string")).where("truncated")
+    assert [(r.doc_id, r.evidence) for r in out.collect()] == [(1, "copy")]
+
+
+def test_short_texts_find_their_copies(spark):
+    rows = [(1, "a b c d e f g h Ana Ruiz", "s"), (2, "a b c d e f g h Ana Ruiz ha", "s")]
+    out = truncated_texts(spark.createDataFrame(rows, "doc_id long, text string, source string"))
+    assert {r.doc_id: r.evidence for r in out.collect()}[1] == "copy"

@@ -4,12 +4,12 @@ from __future__ import annotations
 
 import re
 from collections import Counter
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pandas as pd
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from veredas.functions.text import WORD, fold_py
@@ -19,6 +19,10 @@ from veredas.session import materialize
 WIDTH, SIMILARITY = 5, 0.8
 BANDS, ROWS = 16, 5
 COMPLETE, OPEN, BY_DESIGN, NAMES = 0, 1, 2, 3
+#: Characters by which a text's end is found in its copies; bits of the filter of such ends.
+TAIL, BITS = 48, 1 << 24
+#: Shingles that a near copy of a text shorter than TAIL has at most: 24 words make 20, and 20 / SIMILARITY is 25.
+SHORT = 25
 
 # Marks of omission and debris of a transfer at the end of a text.
 OMISSION = re.compile(
@@ -61,14 +65,17 @@ def is_name_line(line: str) -> bool:
 
 def closing(text: str) -> tuple[int, str, str, str]:
     """(state, last line's first word, closing word, last 48 characters) of how the text ends."""
-    kept, marked = strip_end(text)
+    return _closing(*strip_end(text))
+
+
+def _closing(kept: str, marked: bool) -> tuple[int, str, str, str]:
     if not kept:
         return COMPLETE, "", "", ""
     line = kept[kept.rfind("\n") + 1 :].strip()
     start = WORD.match(line)
     folded = WORD.findall(fold_py(line[-40:]))
     first, last = start.group() if start else "", folded[-1] if folded else ""
-    tail = kept[-48:]
+    tail = kept[-TAIL:]
     if TERMINAL.search(kept[-8:]):
         return COMPLETE, first, last, tail
     if marked:
@@ -93,9 +100,8 @@ def _coefficients() -> tuple[np.ndarray, np.ndarray]:
 A, B = _coefficients()
 
 
-def bands_of(hashes: np.ndarray) -> np.ndarray:
-    """A key for each band of the MinHash signature of the text's shingles; none for texts of fewer words than a shingle."""
-    one = shingles(hashes, WIDTH)
+def bands_of(one: np.ndarray) -> np.ndarray:
+    """A key for each band of the MinHash signature of these shingles; none for texts of fewer words than a shingle."""
     if not len(one):
         return np.empty(0, dtype=np.int64)
     least = np.full(BANDS * ROWS, np.iinfo(np.uint64).max, dtype=np.uint64)
@@ -111,7 +117,7 @@ def bands_of(hashes: np.ndarray) -> np.ndarray:
 
 
 ENDS = (
-    "doc_id long, source string, size int, state int, first long, last long, tail string, last_words int, bands array<long>, "
+    "doc_id long, source string, size int, state int, first long, last long, tail string, tail_key long, last_words int, bands array<long>, "
     "words array<long>, closes array<long>, totals array<long>"
 )
 
@@ -121,16 +127,21 @@ def opening_key(word: str) -> int:
     return xxhash.xxh64_intdigest(word, seed=1)
 
 
+def tail_key(tail: bytes) -> int:
+    """Hash of the last TAIL characters of a text, or of as many elsewhere, encoded with four bytes for each."""
+    return xxhash.xxh64_intdigest(tail)
+
+
 def _signed(values: list[int]) -> np.ndarray:
     return np.asarray(values, dtype=np.uint64).astype(np.int64)
 
 
 def _ends(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-    """Each text's ending and bands; the batch's word counts, added up, go with its first row."""
+    """Each text's ending, bands and number of shingles before marks; the batch's word counts, added up, go with its first row."""
     hashes = WordHashes()
     for batch in batches:
         closes, opens, names = Counter(), Counter(), Counter()
-        rows, bands, firsts, lasts, every = [], [], [], [], [np.empty(0, dtype=np.uint64)]
+        rows, bands, firsts, lasts, tails, every = [], [], [], [], [], [np.empty(0, dtype=np.uint64)]
         for text in batch["text"]:
             folded = fold_py(text)
             words = WORD.findall(folded)
@@ -146,14 +157,18 @@ def _ends(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
                     word = start.group()
                     opens[word] += 1
                     names[word] += is_name_line(line)
-            state, first, last, tail = closing(text)
+            kept, marked = strip_end(text)
+            state, first, last, tail = _closing(kept, marked)
             firsts.append(opening_key(first))
             lasts.append(hashes[last])
-            rows.append((len(words), state, tail, len(tail.rsplit("\n", 1)[-1].split())))
-            bands.append(bands_of(own))
+            one = np.unique(shingles(own, WIDTH))
+            before_marks = np.unique(shingles(hashes.of(WORD.findall(fold_py(kept))), WIDTH)) if marked else one
+            tails.append(tail_key(tail.encode("utf-32-le")))
+            rows.append((len(before_marks), state, tail, len(tail.rsplit("\n", 1)[-1].split())))
+            bands.append(bands_of(one))
         out = pd.DataFrame(rows, columns=["size", "state", "tail", "last_words"])
         out["doc_id"], out["source"], out["bands"] = batch["doc_id"].to_numpy(), batch["source"].to_numpy(), bands
-        out["first"], out["last"] = _signed(firsts), _signed(lasts)
+        out["first"], out["last"], out["tail_key"] = _signed(firsts), _signed(lasts), _signed(tails)
         # Words that close nothing here are counted too: they may close sentences of other batches.
         seen, totals = np.unique(np.concatenate(every), return_counts=True)
         closed = dict(zip((hashes[w] for w in closes), closes.values()))
@@ -165,7 +180,7 @@ def _ends(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         none = np.empty(0, dtype=np.int64)
         for name, values in parts.items():
             out[name] = [values, *[none] * (len(out) - 1)] if len(out) else []
-        yield out[["doc_id", "source", "size", "state", "first", "last", "tail", "last_words", "bands", "words", "closes", "totals"]]
+        yield out[["doc_id", "source", "size", "state", "first", "last", "tail", "tail_key", "last_words", "bands", "words", "closes", "totals"]]
 
 
 def alignment(short: str, long: str) -> str:
@@ -176,10 +191,12 @@ def alignment(short: str, long: str) -> str:
     one, two = (set(zip(*[w[i:] for i in range(WIDTH)])) for w in (WORD.findall(fold_py(kept)), WORD.findall(fold_py(other))))
     if not one or not two or len(one & two) < SIMILARITY * len(one | two):
         return "none"
-    end = other.rfind(kept[-48:])
-    if end < 0:
-        return "none"
-    end += len(kept[-48:])
+    end = other.rfind(kept[-TAIL:])
+    return "none" if end < 0 else _break_at(other, end + len(kept[-TAIL:]))
+
+
+def _break_at(other: str, end: int) -> str:
+    """What kind of place ``end`` is in the text."""
     if end == len(other):
         return "end"
     if TERMINAL.search(other[max(0, end - 8) : end]) or other[end : end + 1] == "\n":
@@ -187,12 +204,105 @@ def alignment(short: str, long: str) -> str:
     return "early"
 
 
+def _filter_of(tails: DataFrame) -> np.ndarray:
+    """A Bloom filter of one hash over the tail keys, BITS bits whatever the corpus."""
+    at = F.col("tail_key").bitwiseAND(F.lit(BITS - 1))
+    parts = tails.groupBy(F.shiftright(at, 15).alias("part")).agg(F.bitmap_construct_agg(at.bitwiseAND(F.lit((1 << 15) - 1))).alias("bits"))
+    packed = np.zeros(BITS // 8, dtype=np.uint8)
+    for part, bits in parts.collect():
+        packed[part * 4096 : (part + 1) * 4096] = np.frombuffer(bits, dtype=np.uint8)
+    return packed
+
+
+def _going_on(packed: np.ndarray, widths: list[int]) -> Callable[[Iterator[pd.DataFrame]], Iterator[pd.DataFrame]]:
+    """mapInPandas body: the places where a text goes on after the tail of another, the last of each tail, by the tail's key."""
+
+    def emit(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for batch in batches:
+            rows = []
+            for doc_id, size, text in zip(batch["doc_id"], batch["size"], batch["text"]):
+                other, _ = strip_end(text)
+                data = other.encode("utf-32-le")
+                for width in (TAIL, *widths) if size <= SHORT else (TAIL,):
+                    starts = range(0, len(data) - 4 * width + 1, 4)
+                    keys = np.fromiter((tail_key(data[i : i + 4 * width]) for i in starts), dtype=np.uint64, count=len(starts))
+                    bit = (keys & np.uint64(BITS - 1)).astype(np.int64)
+                    hits = np.flatnonzero((packed[bit >> 3] >> (bit & 7)) & 1)
+                    for key, at in dict(zip(keys[hits].astype(np.int64).tolist(), hits.tolist())).items():
+                        kind = _break_at(other, at + width)
+                        if kind != "end":
+                            rows.append((key, doc_id, kind == "early"))
+            yield pd.DataFrame(rows, columns=["tail_key", "other", "inside"])
+
+    return emit
+
+
 def _align(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
     for batch in batches:
         found = [alignment(a, b) for a, b in zip(batch["short_text"], batch["long_text"])]
         yield pd.DataFrame({"doc_id": batch["doc_id"], "verdict": found})
 
 
+def _verdicts(pairs: DataFrame, texts: DataFrame) -> DataFrame:
+    """(doc_id, early, boundary) of the pairs (doc_id, other) whose alignment is one of these."""
+    return (
+        pairs.join(texts.withColumnRenamed("text", "short_text"), "doc_id")
+        .join(texts.select(F.col("doc_id").alias("other"), F.col("text").alias("long_text")), "other")
+        .select("doc_id", "short_text", "long_text")
+        .mapInPandas(_align, "doc_id long, verdict string")
+        .groupBy("doc_id")
+        .agg(F.bool_or(F.col("verdict") == "early").alias("early"), F.bool_or(F.col("verdict") == "boundary").alias("boundary"))
+        .where("early or boundary")
+    )
+
+
+def _copies(texts: DataFrame, ends: DataFrame, is_open: Column) -> DataFrame:
+    """(doc_id, early, boundary): what the near copies in any bucket of an open text say about its end.
+
+    Only texts that go on after the open text's tail can say anything, so members of a bucket meet by that tail. The longest of each
+    size class goes first; texts it doesn't show as cut meet all others.
+    """
+    in_bands = F.explode("bands").alias("band")
+    shared = ends.select(in_bands, is_open.alias("open")).groupBy("band").agg(F.count("*").alias("n"), F.bool_or("open").alias("open"))
+    buckets = ends.select("doc_id", in_bands).join(shared.where("n > 1 and open").select("band"), "band").groupBy("doc_id").agg(F.collect_list("band").alias("bands"))
+    members = materialize(ends.select("doc_id", "size", "tail", "tail_key", is_open.alias("open")).join(buckets, "doc_id"), "members")
+
+    tails = members.where("open")
+    lengths = tails.select(F.length("tail").alias("n")).where(F.col("n") < TAIL).distinct()
+    scan = _going_on(_filter_of(tails), [n for (n,) in lengths.collect()])
+    places = texts.join(members.select("doc_id", "size"), "doc_id").select("doc_id", "size", "text")
+    places = places.mapInPandas(scan, "tail_key long, other long, inside boolean")
+
+    # Near copies differ in their numbers of shingles by 1 / SIMILARITY at most, so their classes are the same or neighbours.
+    size_class = F.floor(F.log("size") / float(np.log(1 / SIMILARITY)))
+    others = places.join(members.select(F.col("doc_id").alias("other"), F.col("size").alias("other_size"), size_class.alias("class"), "bands"), "other")
+    others = materialize(others.select("tail_key", in_bands, "class", "inside", "other_size", "other"), "copies-going-on")
+    opened = tails.select("doc_id", "size", "tail_key", in_bands, F.explode(F.array(size_class - 1, size_class, size_class + 1)).alias("class"))
+    near = (
+        (F.col("doc_id") != F.col("other"))
+        & (F.col("size") >= F.col("other_size") * SIMILARITY)
+        & (F.col("other_size") >= F.col("size") * SIMILARITY)
+    )
+    key = ["tail_key", "band", "class"]
+    longest = others.groupBy(*key, "inside").agg(F.max(F.struct("other_size", "other")).alias("top")).select(*key, "top.*")
+    first = materialize(opened.join(longest, key).where(near).select("doc_id", "other").distinct(), "links")  # once its size is known, a small one spares the texts their shuffle
+    found = materialize(_verdicts(first, texts), "verdicts")
+
+    # A text shown as cut is settled; one that ends at a boundary can only be shown as cut by a copy that goes on inside a sentence.
+    rest = (
+        opened.join(others, key)
+        .where(near)
+        .join(found, "doc_id", "left")
+        .where("not coalesce(early, false) and (inside or not coalesce(boundary, false))")
+        .select("doc_id", "other")
+        .distinct()
+        .join(first, ["doc_id", "other"], "left_anti")
+    )
+    rest = materialize(rest, "further-links")
+    both = found.unionByName(_verdicts(rest, texts))
+    return both.groupBy("doc_id").agg(F.bool_or("early").alias("early"), F.bool_or("boundary").alias("boundary"))
+
+
 def truncated_texts(
     documents: DataFrame,
     *,
@@ -204,15 +314,15 @@ def truncated_texts(
 ) -> DataFrame:
     """(doc_id, source, truncated, evidence) for every document.
 
-    ``evidence`` is ``copy`` where a longer near copy (five-word shingles, similarity of at least 0.8) goes on inside the
+    ``evidence`` is ``copy`` where a near copy (five-word shingles, similarity of at least 0.8) goes on inside the
     sentence in which the text ends, or ends it just there; ``closing`` where the text's own end decides. By its own end a
     text is truncated if it closes neither with a full stop nor with a line that ends by design (link, table or label line,
     name, note in brackets or quotes, placeholder); omission marks and debris of a transfer are looked through. The
     words decide what looks alike: a line of names is a signature unless its first word opens ordinary lines, and an
     unpunctuated line of three words or fewer is an end if its closing word closes almost everywhere else in the corpus.
 
-    Banding links every text that has no full stop to the longest text of each of its buckets, found by a partial aggregate, so
-    a bucket with any share of the rows is never collected nor paired. Null or empty texts are not truncated; a null
+    Banding links every text that has no full stop to the texts of its buckets that go on after the text's last 48 characters: to the
+    longest of each size class, and to all others if these don't show a cut. No bucket is collected. Null or empty texts are not truncated; a null
     ``doc_id`` is left out; ids must be unique; other columns are ignored; an empty table gives no rows.
     """
     chosen = documents.select(
@@ -228,31 +338,7 @@ def truncated_texts(
         .agg(F.sum("c.closes").alias("closes"), F.sum("c.totals").alias("total"))
     )
     doubtful = ends.where(F.col("state") != COMPLETE)
-
-    in_bands = F.explode("bands").alias("band")
-    longest = ends.select(in_bands, "size", "doc_id").groupBy("band").agg(
-        F.max(F.struct("size", "doc_id")).alias("top"), F.count("*").alias("n")
-    )
-    longest = longest.where("n > 1").select("band", F.col("top.doc_id").alias("other"), F.col("top.size").alias("other_size"))
-    links = (
-        doubtful.select("doc_id", "size", in_bands)
-        .join(longest, "band")
-        .where((F.col("doc_id") != F.col("other")) & (F.col("size") <= F.col("other_size")) & (F.col("size") >= F.col("other_size") * 0.7))
-        .select("doc_id", "other")
-        .distinct()
-    )
-    links = materialize(links, "links")  # once its size is known, a small one spares the texts their shuffle
-    texts = chosen.select("doc_id", "text")
-    pairs = (
-        links.join(texts.withColumnRenamed("text", "short_text"), "doc_id")
-        .join(texts.select(F.col("doc_id").alias("other"), F.col("text").alias("long_text")), "other")
-        .select("doc_id", "short_text", "long_text")
-    )
-    verdicts = (
-        pairs.mapInPandas(_align, "doc_id long, verdict string")
-        .groupBy("doc_id")
-        .agg(F.bool_or(F.col("verdict") == "early").alias("early"), F.bool_or(F.col("verdict") == "boundary").alias("boundary"))
-    )
+    verdicts = _copies(chosen.select("doc_id", "text"), ends, F.col("state") != COMPLETE)
 
     opening = counts.select(F.col("word").alias("first"), F.col("closes").alias("o_closes"), F.col("total").alias("o_total"))
     ending = counts.select(F.col("word").alias("last"), F.col("closes").alias("e_closes"), F.col("total").alias("e_total"))
