@@ -109,3 +109,23 @@ def test_short_texts_find_their_copies(spark):
     rows = [(1, "a b c d e f g h Ana Ruiz", "s"), (2, "a b c d e f g h Ana Ruiz ha", "s")]
     out = truncated_texts(spark.createDataFrame(rows, "doc_id long, text string, source string"))
     assert {r.doc_id: r.evidence for r in out.collect()}[1] == "copy"
+
+
+@pytest.mark.parametrize(
+    ("end", "more", "verdict"),
+    [
+        ("por 3.", "500 pesos.", "early"),
+        ("según el art.", " 5 de la ley.", "early"),
+        ("dijo el Sr.", " Pérez ayer.", "early"),
+        ("de EE.", "UU. y otros.", "early"),
+        ("en 2023.", " Después siguió.", "boundary"),
+        ("en 2023.", " 15 vecinos.", "boundary"),
+        ("este mar.", " 15 vecinos.", "boundary"),
+    ],
+)
+def test_points_of_abbreviations_and_numbers(spark, end, more, verdict):
+    base = " ".join(f"palabra{i} de la nota" for i in range(60)) + ". El auditor respondió "
+    assert alignment(base + end, base + end + more) == verdict
+    rows = [(1, base + end, "s"), (2, base + end + more, "s")]
+    out = truncated_texts(spark.createDataFrame(rows, "doc_id long, text string, source string")).where("truncated")
+    assert [r.doc_id for r in out.collect()] == [1] * (verdict == "early")

@@ -18,7 +18,7 @@ from veredas.session import materialize
 
 WIDTH, SIMILARITY = 5, 0.8
 BANDS, ROWS = 16, 5
-COMPLETE, OPEN, BY_DESIGN, NAMES = 0, 1, 2, 3
+COMPLETE, OPEN, BY_DESIGN, NAMES, POINT = 0, 1, 2, 3, 4
 #: Characters by which a text's end is found in its copies; bits of the filter of such ends.
 TAIL, BITS = 48, 1 << 24
 #: Shingles that a near copy of a text shorter than TAIL has at most: 24 words make 20, and 20 / SIMILARITY is 25.
@@ -32,6 +32,12 @@ OMISSION = re.compile(
 DEBRIS = re.compile(r"(?:\ufffd|[\x00-\x08\x0b\x0c\x0e-\x1f]|<|&#?[a-zA-Z0-9]{1,8}|&)\s*\Z")
 OPEN_TAG = re.compile(r"<[a-zA-Z/!][^<>]*\Z")
 TERMINAL = re.compile(r"[.?!。！？][\"'”’»›)\]]*\Z")
+# Words that a point shortens: those before a capital, and those before a number.
+TITLES = "ee|dd|rr|sr|sra|srta|dr|dra|ing|lic|gral|cnel|prof|arq|mons|mr|mrs"
+ABBREVIATIONS = TITLES + "|art|arts|n[uú]m|n[uú]ms|nro|p[aá]g|p[aá]gs|p|pp|p[aá]rr|inc|lit|vol|cap|exp|tel|av|cra"
+TITLE_POINT = re.compile(rf"(?<![^\W_])(?:{TITLES})\.\Z", re.I)
+SHORTENED = re.compile(rf"(?<![^\W_])(?:{ABBREVIATIONS})\.\Z", re.I)
+MAYBE_POINT = re.compile(rf"(?:\d|(?<![^\W_])(?:{ABBREVIATIONS}|[^\W\d_]))\.\Z", re.I)
 LINK = re.compile(r"(?:https?://|www\.)\S+\Z", re.I)
 LABEL = re.compile(r"[^\W\d_]\w*(?: \w+)?: \S+(?: \S+){0,3}\Z")
 SMALL_WORDS = frozenset("de del la las los el y e da do das dos of the and for".split())
@@ -77,7 +83,7 @@ def _closing(kept: str, marked: bool) -> tuple[int, str, str, str]:
     first, last = start.group() if start else "", folded[-1] if folded else ""
     tail = kept[-TAIL:]
     if TERMINAL.search(kept[-8:]):
-        return COMPLETE, first, last, tail
+        return POINT if MAYBE_POINT.search(kept[-12:]) else COMPLETE, first, last, tail
     if marked:
         return OPEN, first, last, tail
     if kept[-1] in "»”" or kept[-1] in ")]" and (line[0] in "([" or TERMINAL.search(kept[-9:-1])):
@@ -195,10 +201,22 @@ def alignment(short: str, long: str) -> str:
     return "none" if end < 0 else _break_at(other, end + len(kept[-TAIL:]))
 
 
+def _inner_point(before: str, after: str) -> bool:
+    """Whether the point that ``before`` ends with belongs to an abbreviation or number, by how the text goes on."""
+    if not MAYBE_POINT.search(before):
+        return False
+    if after[:1].isdigit() or after[:1].islower() or after[:1].isalpha() and before[-2].isalpha():
+        return True
+    start = after.lstrip(" ")[:1]
+    return start.islower() or start.isdigit() and bool(SHORTENED.search(before)) or start.isalpha() and bool(TITLE_POINT.search(before))
+
+
 def _break_at(other: str, end: int) -> str:
     """What kind of place ``end`` is in the text."""
     if end == len(other):
         return "end"
+    if _inner_point(other[max(0, end - 12) : end], other[end : end + 12]):
+        return "early"
     if TERMINAL.search(other[max(0, end - 8) : end]) or other[end : end + 1] == "\n":
         return "boundary"
     return "early"
@@ -321,7 +339,7 @@ def truncated_texts(
     words decide what looks alike: a line of names is a signature unless its first word opens ordinary lines, and an
     unpunctuated line of three words or fewer is an end if its closing word closes almost everywhere else in the corpus.
 
-    Banding links every text that has no full stop to the texts of its buckets that go on after the text's last 48 characters: to the
+    Banding links every text that has no full stop, or one that may belong to an abbreviation or number, to the texts of its buckets that go on after the text's last 48 characters: to the
     longest of each size class, and to all others if these don't show a cut. No bucket is collected. Null or empty texts are not truncated; a null
     ``doc_id`` is left out; ids must be unique; other columns are ignored; an empty table gives no rows.
     """
@@ -346,7 +364,7 @@ def truncated_texts(
     # The record's own line and word are no evidence for it.
     ordinary_start = (F.col("o_total") - 1 >= least_support) & ((F.col("o_closes") - 1) < 0.2 * (F.col("o_total") - 1))
     usual_end = (F.col("e_total") - 1 >= least_support) & ((F.col("e_closes") - 1) >= least_terminality * (F.col("e_total") - 1))
-    own = F.when(F.col("state") == BY_DESIGN, F.lit(False)).when(
+    own = F.when(F.col("state").isin(BY_DESIGN, POINT), F.lit(False)).when(
         F.col("state") == NAMES, F.coalesce(ordinary_start, F.lit(False))
     ).otherwise(~(F.coalesce(usual_end, F.lit(False)) & (F.col("last_words") <= 3)))
     decided = F.when(F.col("early"), F.lit(True)).when(F.col("boundary"), F.lit(False)).otherwise(own)
