@@ -78,3 +78,13 @@ def test_blocks_do_not_change_settled_values(spark, sf):
             if found:
                 want.add((r.pos, f, found[0][1]))
     assert one == want
+
+
+def test_blocks_do_not_change_ambiguous_values(spark):
+    texts = ["01/13/2025", "02/03/2025", "02/04/2025", "02/05/2025", "02/25/2025", "03/04/2025", "03/05/2025"]
+    rows = [(i, s, t, None) for s, shift in (("s", 0), (None, 100)) for i, t in enumerate(texts, shift)]
+    rows = spark.createDataFrame(rows, "pos long, source_id string, published_at string, fetched_at string")
+    clock = spark.createDataFrame([("s", "UTC", None)], "source_id string, zone_name string, date_order string")
+    want = sorted((i + shift, "published_at", utc(2025, int(t[:2]), int(t[3:5]))) for shift in (0, 100) for i, t in enumerate(texts))
+    for block in (1, 2, 3, 1 << 17):
+        assert sorted(tuple(r) for r in normalise_timestamps(rows, clock, block=block).collect()) == want

@@ -163,7 +163,7 @@ def _read(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
 
 
 SWITCH_COST, BACKWARD_COST, SLACK_US = 1.0, 1.0, 7 * 86_400 * 1_000_000
-#: Rows of a source whose order is considered together are those of one block of input positions.
+#: Input positions of a block in which settled neighbours are looked for at once.
 BLOCK = 1 << 17
 
 
@@ -220,8 +220,8 @@ def normalise_timestamps(
     ``clock`` has source_id, zone_name and date_order. All valid readings of a value are made as an array. A value with one
     reading is settled, and so is the end of every chain that passes it; the runs of values with several readings
     between two settled ones are decided by Viterbi over the source's record order, where a switch of format and a jump
-    back of more than a week cost alike. Chains are cut at every ``block`` input positions, so that a source with a third of all
-    rows is many groups. Rows with a null ``pos`` are left out; a null or unknown source is read as UTC with both date
+    back of more than a week cost alike. Neighbours are looked for in blocks of ``block`` input positions, so that a source with a third
+    of all rows is many groups, and carried from block to block, so that ``block`` never changes a reading. A run is one group. Rows with a null ``pos`` are left out; a null or unknown source is read as UTC with both date
     orders; repeated rows give repeated results; extra columns are ignored; empty tables give no rows.
     """
     zones = clock.select(
@@ -241,14 +241,39 @@ def normalise_timestamps(
     up = of_chain.orderBy("pos", "readings").rowsBetween(Window.unboundedPreceding, -1)
     down = of_chain.orderBy(F.desc("pos"), F.desc("readings")).rowsBetween(Window.unboundedPreceding, -1)
     anchor = F.when(single, F.struct(F.col("readings")[0]["kind"].alias("kind"), F.col("readings")[0]["at"].alias("at"), F.col("pos").alias("p")))
-    placed = read.withColumn("block", F.floor(F.col("pos") / block)).select(
+    read = read.withColumn("block", F.floor(F.col("pos") / block))
+    # The ends of each block's settled values, carried over its neighbours.
+    order = F.struct("pos", "readings")
+    ends = read.where(single).groupBy("source_key", "field_name", "block").agg(
+        F.max_by(anchor, order).alias("last"), F.min_by(anchor, order).alias("first")
+    )
+    ends = read.select("source_key", "field_name", "block").distinct().join(
+        ends.select(F.col("source_key").alias("_k"), F.col("field_name").alias("_f"), F.col("block").alias("_b"), "last", "first"),
+        F.col("source_key").eqNullSafe(F.col("_k")) & (F.col("field_name") == F.col("_f")) & (F.col("block") == F.col("_b")),
+        "left",
+    )
+    of_source = Window.partitionBy("source_key", "field_name")
+    earlier = of_source.orderBy("block").rowsBetween(Window.unboundedPreceding, -1)
+    later = of_source.orderBy(F.desc("block")).rowsBetween(Window.unboundedPreceding, -1)
+    ends = ends.select(
+        F.col("source_key").alias("_k"),
+        F.col("field_name").alias("_f"),
+        F.col("block").alias("_b"),
+        F.last("last", ignorenulls=True).over(earlier).alias("earlier"),
+        F.last("first", ignorenulls=True).over(later).alias("later"),
+    )
+    placed = read.select(
         "*",
-        F.last(anchor, ignorenulls=True).over(up).alias("before"),
-        F.last(anchor, ignorenulls=True).over(down).alias("after"),
+        F.last(anchor, ignorenulls=True).over(up).alias("_before"),
+        F.last(anchor, ignorenulls=True).over(down).alias("_after"),
     )
     settled = placed.where(single).select("pos", "field_name", F.col("readings")[0]["at"].alias("utc_us"))
-    runs = placed.where(~single).withColumn("run", F.col("before.p"))
-    decided = runs.groupBy("source_key", "field_name", "block", "run").applyInPandas(
+    runs = placed.where(~single).join(
+        ends, F.col("source_key").eqNullSafe(F.col("_k")) & (F.col("field_name") == F.col("_f")) & (F.col("block") == F.col("_b")), "left"
+    )
+    runs = runs.withColumns({"before": F.coalesce("_before", "earlier"), "after": F.coalesce("_after", "later")})
+    runs = runs.select("source_key", "field_name", "pos", "readings", "before", "after", F.col("before.p").alias("run"))
+    decided = runs.groupBy("source_key", "field_name", "run").applyInPandas(
         _decide, "pos long, field_name string, utc_us long"
     )
     return settled.unionByName(decided)
