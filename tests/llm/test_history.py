@@ -3,11 +3,15 @@ from __future__ import annotations
 import random
 import re
 
+import numpy as np
 import pytest
+from pyspark.sql import functions as F
 
 from veredas.functions.text import fold_py, words_py
 from veredas.functions.url import canonical_url_py
-from veredas.llm.history import replay
+from veredas.llm.history import FingerprintStore, accept_delivery, keyed_batch, replay
+from veredas.llm.similarity import Order, word_set
+from veredas.session import materialize, scratch
 
 RAW = "run_date string, pos long, source_id string, url string, title string, content string, tokens int, day int"
 
@@ -45,14 +49,14 @@ def made(seed, n):
     return raw, contents
 
 
-@pytest.mark.parametrize(("seed", "deliveries", "together"), [(1, 1, 0), (2, 2, 300_000), (2, 4, 40)])
-def test_same_as_taking_rows_one_by_one(spark, monkeypatch, seed, deliveries, together):
-    monkeypatch.setattr("veredas.llm.history.SETTLED_TOGETHER", together)
+@pytest.mark.parametrize(("seed", "together", "settled"), [(1, 20, 0), (2, 10, 300_000), (2, 1, 40)])
+def test_same_as_taking_rows_one_by_one(spark, monkeypatch, seed, together, settled):
+    monkeypatch.setattr("veredas.llm.history.SETTLED_TOGETHER", settled)
     raw, contents = made(seed, 240)
     rows = spark.createDataFrame([(*r, "clash", 1, 2) for r in raw], RAW)
     texts = spark.createDataFrame(contents, "pos long, text string")
-    out = replay(rows, texts, content_texts=["text"], threshold=0.6, deliveries=deliveries)
-    assert sorted(tuple(r) for r in out.collect()) == brute(raw, contents, 0.6)
+    out = replay(rows, texts, content_texts=["text"], threshold=0.6, together=together)
+    assert sorted(tuple(r) for r in out.select("accepted_pos", "pos").collect()) == brute(raw, contents, 0.6)
 
 
 def test_empty_tables_and_one_hot_url(spark):
@@ -60,11 +64,29 @@ def test_empty_tables_and_one_hot_url(spark):
     assert replay(spark.createDataFrame([], RAW), texts, content_texts=["text"]).count() == 0
     rows = spark.createDataFrame([(f"d{i // 100}", i, "s", "http://a.example/x", f"t{i}", None, None, None) for i in range(300)], RAW)
     out = replay(rows, texts, content_texts=["text"])
-    assert sorted(tuple(r) for r in out.collect()) == [(0, i) for i in range(1, 300)]
+    assert sorted(tuple(r) for r in out.select("accepted_pos", "pos").collect()) == [(0, i) for i in range(1, 300)]
 
 
 def test_long_chain_ends(spark):
     texts = [(i, " ".join(f"w{k}" for k in range(i, i + 8))) for i in range(120)]
     rows = spark.createDataFrame([("d", i, "s", None, None, None, None, None) for i in range(120)], RAW)
-    out = replay(rows, spark.createDataFrame(texts, "pos long, text string"), content_texts=["text"], threshold=0.6, deliveries=1)
-    assert sorted(tuple(r) for r in out.collect()) == brute([("d", i, "s", None, None) for i in range(120)], texts, 0.6)
+    out = replay(rows, spark.createDataFrame(texts, "pos long, text string"), content_texts=["text"], threshold=0.6)
+    assert sorted(tuple(r) for r in out.select("accepted_pos", "pos").collect()) == brute([("d", i, "s", None, None) for i in range(120)], texts, 0.6)
+
+
+def test_store_is_opened_from_its_folder_in_another_session(spark):
+    raw, contents = made(5, 160)
+    none = Order(np.empty(0, dtype=np.int64), np.empty(0, dtype=np.int64))
+    folder = scratch(spark, "kept-store")
+    FingerprintStore.create(spark, folder, 0.6, none)
+    found = []
+    for start in range(0, 160, 40):
+        session = spark.newSession()
+        part = [(*r, "clash", 1, 2) for r in raw if start <= r[1] < start + 40]
+        texts = session.createDataFrame([c for c in contents if start <= c[0] < start + 40], "pos long, text string")
+        tokens = texts.select("pos", word_set(F.col("text")).alias("tokens"))
+        rows = keyed_batch(session.createDataFrame(part, RAW), tokens, pos="pos", source="source_id", url="url", title="title")
+        out = accept_delivery(FingerprintStore.open(session, folder), materialize(rows, "batch"))
+        found += [tuple(r) for r in out.collect()]
+    assert sorted((a, p) for a, p, _ in found) == brute(raw, contents, 0.6)
+    assert any(by_store for *_, by_store in found)

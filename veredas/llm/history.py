@@ -2,38 +2,62 @@
 
 from __future__ import annotations
 
+import json
 import uuid
-from collections.abc import Iterator
-from dataclasses import dataclass
+from collections.abc import Callable, Iterator
+from concurrent.futures import ThreadPoolExecutor
 from functools import reduce
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from veredas.functions.text import fold_py
 from veredas.functions.url import canonical_url
 from veredas.llm.similarity import (
+    ASK,
+    HOT,
     KEYS,
+    MET,
+    PAIR,
     SKETCH,
+    WIDE,
     Order,
+    _columns,
+    _rows,
+    hot_pairs,
     key_rows,
     may_match,
+    meet,
     overlap_holds,
-    sketches,
-    verified_pairs,
+    smaller_has_key,
+    wide_sketches,
     word_order,
     word_set,
 )
-from veredas.session import discard, materialize, release, scratch
+from veredas.session import discard, materialize, scratch
 
 #: Bits of one part of the Bloom filter, and its number of hashes.
 PART_BITS, HASHES = 1 << 20, 4
 #: Keys for which a part is laid out: about one in a hundred others passes.
 KEYS_PER_PART = PART_BITS // 10
-#: Keys that a set has in either role, for laying out the filters.
-KEYS_PER_SET = {"small": 45, "large": 90}
+#: Counted rows up to which a side is broadcast (ids, hashes and sizes: some 100 bytes each at most); beyond it is merged.
+BROADCAST_ROWS = 200_000
+#: Rows of a delivery that one file of the replay holds.
+ROWS_PER_FILE = 20_000
+
+
+def sided(rows: DataFrame, count: int) -> DataFrame:
+    """Rows whose number is known, as a side of a join: broadcast if they are few, else never."""
+    return F.broadcast(rows) if count <= BROADCAST_ROWS else rows.hint("merge")
+
+
+def counted(rows: DataFrame, name: str, **counts: Column) -> tuple[DataFrame, dict[str, int]]:
+    """``rows`` as a written table, and counts made while they were written."""
+    seen = Observation()
+    table = materialize(rows.observe(seen, F.count(F.lit(1)).alias("rows"), *[F.count_if(c).alias(k) for k, c in counts.items()]), name)
+    return table, seen.get
 
 
 def _places(keys: np.ndarray) -> np.ndarray:
@@ -44,28 +68,46 @@ def _places(keys: np.ndarray) -> np.ndarray:
     return np.stack([((x + np.uint64(i) * y) >> np.uint64(20)) % np.uint64(PART_BITS) for i in range(HASHES)]).astype(np.int64)
 
 
-def screen(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-    """Keeps the keys that their part of the filter may hold; a part's bits (even slots) come right before its keys."""
-    part, bits = -1, None
-    for batch in batches:
-        keep = np.zeros(len(batch), dtype=bool)
-        slots, keys = batch["slot"].to_numpy(), batch["key"].to_numpy(dtype=np.int64)
-        bounds = [0, *(np.flatnonzero(np.diff(slots)) + 1).tolist(), len(slots)]
-        for start, end in zip(bounds, bounds[1:]):
-            if start == end:
-                continue
-            if slots[start] >> 1 != part:
-                part, bits = int(slots[start] >> 1), None
-            if not slots[start] & 1:
-                for x in batch["bits"].iloc[start:end]:
-                    more = np.frombuffer(x, dtype=np.uint8)
-                    bits = more if bits is None else bits | more
-            elif bits is not None:
-                hit = np.ones(end - start, dtype=bool)
-                for row in _places(keys[start:end]):
-                    hit &= (bits[row >> 3] >> (row & 7).astype(np.uint8) & 1).astype(bool)
-                keep[start:end] = hit
-        yield batch.loc[keep, ["key", "id"]]
+def screened(threshold: float) -> Callable[[Iterator[pd.DataFrame]], Iterator[pd.DataFrame]]:
+    """mapInPandas body: pairs of a delivery's key rows that share a key, and the rows whose key the filter may hold (``ASK``).
+
+    Rows come by part and key; a part's bits (even slots) come right before its keys.
+    """
+
+    def asked(batches: Iterator[pd.DataFrame], out: list[pd.DataFrame]) -> Iterator[dict[str, np.ndarray]]:
+        part, bits = -1, None
+        for batch in batches:
+            slots, x = batch["slot"].to_numpy(), _columns(batch)
+            hit = np.zeros(len(batch), dtype=bool)
+            bounds = [0, *(np.flatnonzero(np.diff(slots)) + 1).tolist(), len(slots)]
+            for start, end in zip(bounds, bounds[1:]):
+                if start == end:
+                    continue
+                if slots[start] >> 1 != part:
+                    part, bits = int(slots[start] >> 1), None
+                if not slots[start] & 1:
+                    for b in batch["bits"].iloc[start:end]:
+                        more = np.frombuffer(b, dtype=np.uint8)
+                        bits = more if bits is None else bits | more
+                elif bits is not None:
+                    inside = np.ones(end - start, dtype=bool)
+                    for row in _places(x["key"][start:end]):
+                        inside &= (bits[row >> 3] >> (row & 7).astype(np.uint8) & 1).astype(bool)
+                    hit[start:end] = inside
+            if hit.any():
+                out.append(_rows(ASK, x, hit))
+            own = (slots & 1).astype(bool)
+            yield {c: v[own] for c, v in x.items()}
+
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        out: list[pd.DataFrame] = []
+        for found in meet(asked(batches, out), threshold):
+            yield found
+            while out:
+                yield out.pop()
+        yield from out
+
+    return run
 
 
 #: Parts that a task fills before it writes them; a part may be written in several pieces, which count together.
@@ -105,53 +147,85 @@ def fill(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
 class FingerprintStore:
     """What has been accepted, in a folder that all executors share: exact keys, word sets, their fingerprints and the filter.
 
-    A delivery adds files and never rewrites the others; the filter, which is small beside the fingerprints, is written anew.
-    Fingerprints are written when a delivery is read, once for each word set. ``sets`` names those that were accepted; what belongs to a
-    refused row finds no set there and so matches nothing.
+    A delivery adds files and never rewrites the others; the filter, which is small beside the fingerprints, is written anew, with
+    more parts as the keys grow in number. What counts is named by a manifest, written last and moved to its place at once: a
+    delivery that is broken off leaves files that no manifest names. ``open`` reads the newest manifest.
     """
 
-    def __init__(self, spark: SparkSession, folder: str, threshold: float, expected_sets: int) -> None:
-        self.spark, self.folder, self.threshold = spark, folder.rstrip("/"), threshold
-        self.parts = {role: max(1, -(-expected_sets * keys // KEYS_PER_PART)) for role, keys in KEYS_PER_SET.items()}
-        self.tables: dict[str, list[str]] = {"exact": [], "sets": [], "small": [], "large": []}
-        self.filters: dict[str, str] = {}
-        self.order: Order | None = None
-
-    def write(self, table: str, rows: DataFrame) -> tuple[str, DataFrame]:
-        """Writes rows of a table; they count once their path is in ``tables``."""
-        path = f"{self.folder}/{table}/{uuid.uuid4().hex}"
-        rows.write.parquet(path)
-        return path, self.spark.read.parquet(path)
-
-    def add(self, table: str, rows: DataFrame) -> None:
-        self.tables[table].append(self.write(table, rows)[0])
+    def __init__(self, spark: SparkSession, folder: str, state: dict, order: Order) -> None:
+        self.spark, self.folder, self.state, self.order = spark, folder.rstrip("/"), state, order
+
+    @classmethod
+    def create(cls, spark: SparkSession, folder: str, threshold: float, order: Order) -> FingerprintStore:
+        """An empty store. ``order`` is for good: any order gives the same matches, one that has counted like texts the fewest candidates."""
+        state = {"version": 0, "threshold": threshold, "parts": 1, "keys": 0, "filter": None, "tables": {"exact": [], "sets": [], "keys": []}}
+        store = cls(spark, folder, state, order)
+        ranks = pd.DataFrame({"hash": order.hashes.astype(np.int64), "rank": order.ranks.astype(np.int64)})
+        spark.createDataFrame(ranks, "hash long, rank long").coalesce(1).write.parquet(f"{store.folder}/order")
+        store.commit()
+        return store
+
+    @classmethod
+    def open(cls, spark: SparkSession, folder: str) -> FingerprintStore:
+        """The store as its last complete delivery left it."""
+        folder = folder.rstrip("/")
+        fs, path = _files(spark, f"{folder}/manifests")
+        newest = max((s.getPath() for s in fs.listStatus(path) if s.getPath().getName().endswith(".json")), key=lambda x: x.getName())
+        state = json.loads("".join(r[0] for r in spark.read.text(newest.toString()).collect()))
+        ranks = spark.read.parquet(f"{folder}/order").toPandas().sort_values("hash")
+        return cls(spark, folder, state, Order(ranks["hash"].to_numpy(dtype=np.int64), ranks["rank"].to_numpy(dtype=np.int64)))
+
+    @property
+    def threshold(self) -> float:
+        return self.state["threshold"]
+
+    def commit(self, **changes: object) -> None:
+        self.state = {**self.state, **changes, "version": self.state["version"] + 1}
+        name = f"{self.state['version']:09d}.json"
+        fs, path = _files(self.spark, f"{self.folder}/manifests/.{name}")
+        stream = fs.create(path, True)
+        stream.write(bytearray(json.dumps(self.state).encode()))
+        stream.close()
+        if not fs.rename(path, _files(self.spark, f"{self.folder}/manifests/{name}")[1]):
+            raise OSError(f"another delivery has written version {self.state['version']}")
+
+    def write(self, table: str, rows: DataFrame) -> str:
+        """Writes rows of a table; they count once a manifest names them."""
+        name = f"{table}/{uuid.uuid4().hex}"
+        rows.write.parquet(f"{self.folder}/{name}")
+        return name
 
     def read(self, table: str) -> DataFrame | None:
-        return self.spark.read.parquet(*self.tables[table]) if self.tables[table] else None
-
-    def routed(self, role: str, keys: DataFrame) -> DataFrame:
-        """Keys (key, id) and the bits of the filter, by part: slot is twice the part, and one more for keys."""
-        slot = F.pmod(F.col("key"), F.lit(self.parts[role])) * 2 + 1
-        both = keys.select(slot.alias("slot"), F.lit(None).cast("binary").alias("bits"), "key", "id")
-        if role in self.filters:
-            zero = [F.lit(0).cast("long").alias(c) for c in ("key", "id")]
-            known = self.spark.read.parquet(self.filters[role])
-            both = known.select((F.col("part").cast("long") * 2).alias("slot"), "bits", *zero).unionByName(both)
+        names = self.state["tables"][table]
+        return self.spark.read.schema(STORED[table]).parquet(*[f"{self.folder}/{n}" for n in names]) if names else None
+
+    def routed(self, keys: DataFrame, parts: int, old: str | None) -> DataFrame:
+        """Rows with a key and the bits of the filter, by part: slot is twice the part, and one more for keys."""
+        both = keys.select((F.pmod(F.col("key"), F.lit(parts)) * 2 + 1).alias("slot"), F.lit(None).cast("binary").alias("bits"), *keys.columns)
+        if old:
+            known = self.spark.read.schema("part int, bits binary").parquet(f"{self.folder}/{old}")
+            none = [(F.lit(False) if c == "small" else F.lit(0)).cast(keys.schema[c].dataType).alias(c) for c in keys.columns]
+            both = known.select((F.col("part").cast("long") * 2).alias("slot"), "bits", *none).unionByName(both)
         return both.repartition(F.shiftright("slot", 1))
 
-    def likely(self, role: str, keys: DataFrame) -> DataFrame:
-        """The keys (key, id) that the filter does not rule out."""
-        return self.routed(role, keys).sortWithinPartitions("slot").mapInPandas(screen, "key long, id long")
+    def extended_filter(self, name: str, count: int) -> dict[str, object]:
+        """The filter with the ``count`` keys of a new file of fingerprints; made again with more parts where they have become too many."""
+        keys, parts, old = [name], self.state["parts"], self.state["filter"]
+        total = self.state["keys"] + count
+        if total > parts * KEYS_PER_PART:
+            parts, old, keys = 2 * -(-total // KEYS_PER_PART), None, [*self.state["tables"]["keys"], name]
+        rows = self.spark.read.schema(KEYS).parquet(*[f"{self.folder}/{k}" for k in keys]).select("key")
+        made = self.routed(rows, parts, old).select("slot", "bits", "key").mapInPandas(fill, "part int, bits binary")
+        return {"parts": parts, "keys": total, "filter": self.write("filter", made)}
 
-    def extend_filter(self, role: str, keys: DataFrame) -> None:
-        path = f"{self.folder}/filter-{role}/{uuid.uuid4().hex}"
-        rows = self.routed(role, keys.withColumn("id", F.lit(0).cast("long"))).select("slot", "bits", "key")
-        rows.mapInPandas(fill, "part int, bits binary").write.parquet(path)
-        self.filters[role] = path
 
+STORED = {"exact": "key string, old long", "sets": f"tokens array<long>, {SKETCH}", "keys": KEYS}
 
-def _prints(sets: DataFrame, order: Order, threshold: float, small: bool) -> DataFrame:
-    return sets.select("id", "salt", "tokens").mapInPandas(key_rows(order, threshold, small), KEYS)
+
+def _files(spark: SparkSession, path: str) -> tuple:
+    jvm = spark.sparkContext._jvm
+    found = jvm.org.apache.hadoop.fs.Path(path)
+    return found.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()), found
 
 
 def _title_form(titles: pd.Series) -> pd.Series:
@@ -180,57 +254,71 @@ def keyed_batch(rows: DataFrame, contents: DataFrame, *, pos: str, source: str,
     )
 
 
-@dataclass
-class Fingerprints:
-    """A delivery's word sets: classes (content, id), sets (id, salt, tokens) and their key rows in both roles."""
-
-    classes: DataFrame
-    sets: DataFrame
-    sketches: DataFrame
-    small: DataFrame
-    large: DataFrame
-    paths: dict[str, str]
-
-    def discard(self) -> None:
-        """Deletes what only the delivery needed."""
-        for table in (self.classes, self.sets, self.sketches):
-            discard(table)
-
-
-def fingerprints(store: FingerprintStore, batch: DataFrame) -> Fingerprints:
-    """Each word set once, by the least pos that has it; its key rows go to the store's folder, from where all steps read them."""
-    classes = materialize(batch.where("content is not null").groupBy("content").agg(F.min("pos").alias("id")), "classes")
-    sets = batch.select(F.col("pos").alias("id"), F.lit(0).cast("long").alias("salt"), "tokens").join(classes.select("id"), "id", "left_semi")
-    sets = materialize(sets, "sets")
-    own = materialize(sets.select("id", "tokens").mapInPandas(sketches, SKETCH), "sketches")
-    small, large = (store.write(role, _prints(sets, store.order, store.threshold, role == "small")) for role in ("small", "large"))
-    return Fingerprints(classes, sets, own, small[1], large[1], {"small": small[0], "large": large[0]})
-
-
-def match_store(store: FingerprintStore, batch: DataFrame, prints: Fingerprints) -> DataFrame:
-    """(pos, accepted_pos): rows that match something in the store, with the least pos of it."""
-    known_keys = store.read("exact").withColumnRenamed("pos", "old")
-    exact = batch.select("pos", F.explode("exact").alias("key")).join(known_keys, "key").groupBy("pos").agg(F.min("old").alias("accepted_pos"))
-    found = None
-    for mine, theirs in (("small", "large"), ("large", "small")):
-        own = prints.small if mine == "small" else prints.large
-        # Few keys pass, so only those meet the store; their sketches come back by id.
-        likely = store.likely(theirs, own.select("key", "id")).join(prints.sketches, "id")
-        a, b = ("s", "l") if mine == "small" else ("l", "s")
-        pairs = likely.alias(a).join(store.read(theirs).alias(b), F.col("s.key") == F.col("l.key"))
-        pairs = pairs.where(may_match("s", "l", store.threshold)).select(F.col(f"{a}.id").alias("id"), F.col(f"{b}.id").alias("old"))
-        found = pairs if found is None else found.unionByName(pairs)
-    old_sets = store.read("sets").select(F.col("id").alias("old"), F.col("pos").alias("old_pos"), F.col("tokens").alias("old_tokens"))
+def with_sketches(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    """mapInPandas body: each set (id, tokens) with its size and wide parity."""
+    for batch in batches:
+        for sketch in wide_sketches(iter([batch])):
+            own = batch.set_index("id").loc[sketch["id"]].reset_index()
+            yield pd.concat([own[["tokens"]], sketch], axis=1)
+
+
+def match_exact(store: FingerprintStore, batch: DataFrame, count: int) -> DataFrame:
+    """(pos, accepted_pos, same): rows with a URL, title or word set of the store, its least pos, and whether it is the word set."""
+    own = batch.select("pos", F.explode(every_key()).alias("key"))
+    found = store.read("exact").join(sided(own, 3 * count), "key").groupBy("pos")
+    return found.agg(F.min("old").alias("accepted_pos"), F.bool_or(F.left("key", F.lit(1)) == "c").alias("same"))
+
+
+def every_key() -> Column:
+    return F.filter(F.concat("exact", F.array("content")), lambda x: x.isNotNull())
+
+
+def match_fingerprints(store: FingerprintStore, sets: DataFrame, count: int) -> tuple[DataFrame, int]:
+    """(id, other), and their number: the delivery's sets that are similar to one of the store (``other`` < ``id``) or to each other.
+
+    Key rows go through one exchange, by part of the filter; where they meet the part's bits they also meet each other. Those that the
+    filter lets through look the fingerprints up; those, the sketches and the sets are read where they lie and not moved,
+    as long as the asking side is few rows.
+    """
+    keys = sets.withColumn("salt", F.lit(0)).select("id", "salt", "tokens").mapInPandas(key_rows(store.order, store.threshold), KEYS)
+    routed = store.routed(keys, store.state["parts"], store.state["filter"]).sortWithinPartitions("slot", "key")
+    met, n = counted(routed.mapInPandas(screened(store.threshold), MET), "met", pairs=F.col("what") == PAIR, hot=F.col("what") == HOT, ask=F.col("what") == ASK)
+    pairs = met.where(F.col("what") == PAIR).select("id", "other")
+    if n["hot"]:
+        pairs = pairs.unionByName(hot_pairs(met.where(F.col("what") == HOT), store.threshold))
+    if n["ask"]:
+        asked = sided(met.where(F.col("what") == ASK).drop("what", "other"), n["ask"])
+        looked = store.read("keys").alias("o").join(asked.alias("n"), F.col("o.key") == F.col("n.key"))
+        looked = looked.where(smaller_has_key("o", "n") & may_match("o", "n", store.threshold))
+        pairs = pairs.unionByName(looked.select(F.col("n.id").alias("id"), F.col("o.id").alias("other")))
+    pairs, n = counted(pairs.distinct(), "pairs")
+    old = store.read("sets")
+    known = sets.select("tokens", *_names(SKETCH))
+    known = known if old is None else old.unionByName(known)
+    wide = tuple(f"w{i}" for i in range(WIDE))
+    mine = lambda side, columns: side.select(*columns)
     near = (
-        found.distinct()
-        .join(prints.sets.select("id", "tokens"), "id")
-        .join(old_sets, "old")
-        .where(overlap_holds("tokens", "old_tokens", store.threshold))
-        .groupBy("id")
-        .agg(F.min("old_pos").alias("accepted_pos"))
+        mine(known, _names(SKETCH)).alias("y").join(sided(pairs, n["rows"]).alias("p"), F.col("p.other") == F.col("y.id"))
+        .join(sided(mine(sets, _names(SKETCH)), count).alias("x"), F.col("p.id") == F.col("x.id"))
+        .where(may_match("x", "y", store.threshold, wide))
+        .select(F.col("p.id").alias("id"), F.col("p.other").alias("other"))
     )
-    near = near.join(prints.classes, "id").join(batch.select("pos", "content"), "content").select("pos", "accepted_pos")
-    return exact.unionByName(near).groupBy("pos").agg(F.min("accepted_pos").alias("accepted_pos"))
+    near, n = counted(near, "near")
+    links = (
+        known.select(F.col("id").alias("other"), F.col("tokens").alias("other_tokens"))
+        .join(sided(near, n["rows"]), "other")
+        .join(sets.select("id", "tokens"), "id")
+        .where(overlap_holds("tokens", "other_tokens", store.threshold))
+        .select("id", "other")
+    )
+    links, n = counted(links, "links")
+    for table in (met, pairs, near):
+        discard(table)
+    return links, n["rows"]
+
+
+def _names(schema: str) -> list[str]:
+    return [c.split()[0] for c in schema.split(", ")]
 
 
 #: Rows of (row, key) that one task settles in order; more go through rounds until so few are open.
@@ -241,17 +329,21 @@ def _settle(batch: pd.DataFrame) -> pd.DataFrame:
     """Takes the open rows in order of pos: refused if one of their keys has been taken, else accepted with their own keys."""
     taken = {k: t for k, t in zip(batch["key"], batch["taken"]) if t >= 0}
     batch = batch.sort_values("pos", kind="stable")
-    keys, own, status = batch["key"].to_numpy(), batch["own"].to_numpy(), []
+    keys, own, first = batch["key"].to_numpy(), batch["own"].to_numpy(), []
     positions, starts = np.unique(batch["pos"].to_numpy(), return_index=True)
     for pos, start, end in zip(positions.tolist(), starts, [*starts[1:], len(batch)]):
-        if any(taken.get(k, pos) < pos for k in keys[start:end]):
-            status.append(2)
-        else:
-            status.append(1)
+        least = min(taken.get(k, pos) for k in keys[start:end])
+        first.append(least)
+        if least == pos:
             for k, mine in zip(keys[start:end], own[start:end]):
                 if mine:
-                    taken[k] = min(pos, taken.get(k, pos))
-    return pd.DataFrame({"pos": positions, "status": np.asarray(status, dtype=np.int32)})
+                    taken.setdefault(k, pos)
+    return pd.DataFrame({"pos": positions, "accepted_pos": np.asarray(first, dtype=np.int64)})
+
+
+def settled(waiting: DataFrame) -> DataFrame:
+    """(pos, accepted_pos) of the rows of (pos, key, own, taken), in one task; accepted ones have their own pos."""
+    return waiting.withColumn("all", F.lit(1)).groupBy("all").applyInPandas(_settle, "pos long, accepted_pos long")
 
 
 def resolve(rows: DataFrame, links: DataFrame) -> DataFrame:
@@ -263,14 +355,15 @@ def resolve(rows: DataFrame, links: DataFrame) -> DataFrame:
     at most ``SETTLED_TOGETHER`` keys of undecided rows are left, one task takes these in order, so long chains end too.
     """
     both = links.select("a", "b").unionByName(links.select(F.col("b").alias("a"), F.col("a").alias("b")))
-    own = rows.select("pos", F.explode(F.filter(F.concat("exact", F.array("content")), lambda x: x.isNotNull())).alias("key"))
-    shared = own.groupBy("key").agg(F.count("*").alias("n")).where("n > 1").select("key")
-    linked = both.select(F.col("a").alias("key")).distinct()
-    kept = materialize(own.join(shared.unionByName(linked).distinct(), "key", "left_semi"), "own-keys")
-    near = kept.join(both, F.col("key") == F.col("a")).select("pos", F.col("b").alias("key"), F.lit(0).alias("own"))
-    watched = kept.select("pos", "key", F.lit(1).alias("own")).unionByName(near)
-    watched = materialize(watched.groupBy("pos", "key").agg(F.max("own").alias("own")), "watched")
-    state = materialize(kept.select("pos").distinct().withColumn("status", F.lit(0)), "state")
+    own = rows.select("pos", F.explode(every_key()).alias("key"), F.lit(1).alias("own"))
+    near = rows.select("pos", "content").join(both, F.col("content") == F.col("a")).select("pos", F.col("b").alias("key"), F.lit(0).alias("own"))
+    watched = own.unionByName(near).groupBy("pos", "key").agg(F.max("own").alias("own"))
+    shared = watched.groupBy("key").agg(F.count("*").alias("n")).where("n > 1").select("key")
+    watched, n = counted(watched.join(shared, "key").select("pos", "key", "own"), "watched")
+    if n["rows"] <= SETTLED_TOGETHER:
+        return settled(watched.withColumn("taken", F.lit(-1).cast("long"))).where("accepted_pos < pos")
+    kept = watched.where("own = 1").select("pos", "key")
+    state = materialize(watched.select("pos").distinct().withColumn("status", F.lit(0)), "state")
     while True:
         undecided = state.where("status = 0").select("pos")
         waiting = watched.join(undecided, "pos")
@@ -280,8 +373,7 @@ def resolve(rows: DataFrame, links: DataFrame) -> DataFrame:
         taken = kept.join(state.where("status = 1"), "pos").groupBy("key").agg(F.min("pos").alias("taken"))
         if count <= SETTLED_TOGETHER:
             asked = waiting.join(taken, "key", "left").select("pos", "key", "own", F.coalesce("taken", F.lit(-1)).alias("taken"))
-            decided = asked.withColumn("all", F.lit(1)).groupBy("all").applyInPandas(_settle, "pos long, status int")
-            decided = decided.withColumnRenamed("status", "now")
+            decided = settled(asked).select("pos", F.when(F.col("accepted_pos") < F.col("pos"), 2).otherwise(1).alias("now"))
         else:
             first = kept.join(undecided, "pos").groupBy("key").agg(F.min("pos").alias("first"))
             seen = waiting.join(first, "key", "left").join(taken, "key", "left")
@@ -300,50 +392,60 @@ def resolve(rows: DataFrame, links: DataFrame) -> DataFrame:
 
 
 def accept_delivery(store: FingerprintStore, batch: DataFrame) -> DataFrame:
-    """(accepted_pos, pos) of the delivery's refused rows; what is accepted goes into the store.
+    """(accepted_pos, pos, by_store) of the delivery's refused rows; what is accepted goes into the store.
 
-    ``batch`` is a result of :func:`keyed_batch`, of one or more batches in order of pos, all later than what the store has. A row
+    ``batch`` is a written result of :func:`keyed_batch`, of one or more batches in order of pos, all later than what the store has. A row
     is refused when it matches a row accepted before, of the store or of its own delivery: by canonical URL, by source
     and title, or by word sets of a similarity of at least the store's threshold. Rows with a null or empty url, title or
     content have no such key; a row without any key is accepted. pos must be unique. Only the delivery's own fingerprints
     are computed: the filter screens them, the store's are looked up by key, and hits are verified on the whole word sets.
+    Only accepted rows add fingerprints, sets and bits of the filter.
     """
-    if store.order is None:
-        contents = batch.where("content is not null").select("tokens")
-        store.order = word_order(contents, contents.count())
-    prints = fingerprints(store, batch)
-    names = batch.select("pos", "exact", "content")
-    known, rest, small, large = None, names, prints.small, prints.large
-    if store.tables["exact"]:
-        known = materialize(match_store(store, names, prints), "known")
-        release(store.spark)
-        rest = materialize(names.join(known.select("pos"), "pos", "left_anti"), "rest")
-        open_ids = prints.classes.join(rest.select("content"), "content", "left_semi").select("id")
-        # Made again for the open sets: cheaper than to shuffle all key rows by id.
-        open_sets = materialize(prints.sets.join(open_ids, "id", "left_semi"), "open-sets")
-        small, large = (_prints(open_sets, store.order, store.threshold, role) for role in (True, False))
-    content_of = prints.classes.select("id", "content")
-    links = materialize(
-        verified_pairs(small, large, prints.sets, store.threshold)
-        .join(content_of.select(F.col("id").alias("id_a"), F.col("content").alias("a")), "id_a")
-        .join(content_of.select(F.col("id").alias("id_b"), F.col("content").alias("b")), "id_b")
-        .select("a", "b"),
-        "links",
-    )
-    inner = materialize(resolve(rest, links), "refused")
-    accepted = rest.join(inner.select("pos"), "pos", "left_anti")
-    store.add("exact", accepted.select(F.explode(F.filter(F.concat("exact", F.array("content")), lambda x: x.isNotNull())).alias("key"), "pos"))
-    # Of one word set at most one row of a delivery is accepted.
-    taken = accepted.where("content is not null").select("content", "pos").join(prints.classes, "content")
-    store.add("sets", taken.select("id", "pos").join(prints.sets.select("id", "tokens"), "id"))
-    for role, rows in (("small", prints.small), ("large", prints.large)):
-        store.tables[role].append(prints.paths[role])
-        store.extend_filter(role, rows.select("key"))
-    for table in (links, rest if known is not None else links):
+    names, count = batch.select("pos", "exact", "content"), batch.count()
+    exact = materialize(match_exact(store, names, count), "exact") if store.state["tables"]["exact"] else None
+    filled = batch.where("content is not null").select("content", "pos", "tokens")
+    if exact is not None:  # an accepted row's word set has no earlier match than that row
+        filled = filled.join(sided(exact.where("same").select("pos"), count), "pos", "left_anti")
+    first = filled.groupBy("content").agg(F.min("pos").alias("pos"))
+    first = filled.select("pos", "tokens").join(sided(first, count), "pos")
+    ids = materialize(first.select(F.col("pos").alias("id"), "content", "tokens"), "leaders")
+    sets, n = counted(ids.select("id", "tokens").mapInPandas(with_sketches, f"tokens array<long>, {SKETCH}"), "sets")
+    links, linked = match_fingerprints(store, sets, n["rows"])
+    content_of = ids.select("id", "content")
+    known, rest, refused_there = None, names, 0
+    if exact is not None:
+        near = links.where("other < id").groupBy("id").agg(F.min("other").alias("accepted_pos")).join(content_of, "id").select("content", "accepted_pos")
+        near = names.select("pos", "content").join(sided(near, linked), "content").select("pos", "accepted_pos")
+        known = exact.select("pos", "accepted_pos").unionByName(near).groupBy("pos").agg(F.min("accepted_pos").alias("accepted_pos"))
+        known, n = counted(known, "known")
+        refused_there = n["rows"]
+        rest = names.join(sided(known.select("pos"), refused_there), "pos", "left_anti")
+    inside = links.where("id < other").join(content_of.select("id", F.col("content").alias("a")), "id")
+    inside = inside.join(content_of.select(F.col("id").alias("other"), F.col("content").alias("b")), "other").select("a", "b")
+    inner, n = counted(resolve(rest, inside), "refused")
+    gone = inner.select("pos") if known is None else inner.select("pos").unionByName(known.select("pos"))
+    accepted = batch.join(sided(gone, n["rows"] + refused_there), "pos", "left_anti")
+    # Of one word set at most one row is accepted.
+    own = accepted.where("content is not null").select(F.col("pos").alias("id"), F.lit(0).alias("salt"), "tokens")
+
+    def prints() -> tuple[str, dict[str, object]]:
+        seen = Observation()
+        rows = own.mapInPandas(key_rows(store.order, store.threshold), KEYS).observe(seen, F.count(F.lit(1)).alias("rows"))
+        name = store.write("keys", rows)
+        return name, store.extended_filter(name, seen.get["rows"])
+
+    with ThreadPoolExecutor(3) as pool:
+        made = pool.submit(prints)
+        rows = pool.submit(store.write, "exact", accepted.select(F.explode(every_key()).alias("key"), F.col("pos").alias("old")))
+        theirs = pool.submit(store.write, "sets", own.select("id", "tokens").mapInPandas(with_sketches, STORED["sets"]))
+        (keys, filtered), before = made.result(), store.state["tables"]
+        tables = {"exact": [*before["exact"], rows.result()], "sets": [*before["sets"], theirs.result()], "keys": [*before["keys"], keys]}
+    store.commit(tables=tables, **filtered)
+    for table in (ids, sets, links, *([exact] if exact is not None else [])):
         discard(table)
-    prints.discard()
-    refused = inner if known is None else inner.unionByName(known)
-    return refused.select("accepted_pos", "pos")
+    refused = inner.withColumn("by_store", F.lit(False))
+    refused = refused if known is None else refused.unionByName(known.withColumn("by_store", F.lit(True)))
+    return refused.select("accepted_pos", "pos", "by_store")
 
 
 def replay(
@@ -357,27 +459,30 @@ def replay(
     title: str = "title",
     content_texts: list[str],
     threshold: float = 0.8,
-    deliveries: int = 2,
+    together: int = 1,
+    folder: str | None = None,
 ) -> DataFrame:
-    """(accepted_pos, pos) of all refused rows, the batches taken in order through a fresh store.
+    """(accepted_pos, pos, by_store) of all refused rows, the batches taken in order through a fresh store in ``folder``.
 
-    The batches, whose order pos must follow, come in ``deliveries`` deliveries of as many batches each; their number changes the
+    Each delivery has ``together`` batches, whose order pos must follow; the number changes the
     work, never the result. Rows with a null batch or pos are left out.
     """
     spark = rows.sparkSession
     tokens = contents.select(F.col(pos).cast("long").alias("pos"), word_set(*[F.col(c) for c in content_texts]).alias("tokens"))
     keyed = keyed_batch(rows.where(F.col(batch).isNotNull()), tokens, pos=pos, source=source, url=url, title=title)
-    dates = rows.select(F.col(pos).cast("long").alias("pos"), F.col(batch).cast("string").alias("day"))
-    days = sorted(r[0] for r in dates.where("day is not null").select("day").distinct().collect())
-    store = FingerprintStore(spark, scratch(spark, "store"), threshold, contents.count())
-    keyed = materialize(keyed.join(dates, "pos"), "keyed")
-    results = []
-    each = -(-len(days) // deliveries) if days else 1
-    for start in range(0, len(days), each):
-        part = days[start : start + each]
-        now = keyed.where(F.col("day").between(part[0], part[-1])).drop("day")
-        results.append(accept_delivery(store, now))
-        release(spark)
-    if not results:
-        return keyed.select(F.col("pos").alias("accepted_pos"), "pos").where("false")
+    dates = rows.select(F.col(pos).cast("long").alias("pos"), F.col(batch).cast("string").alias("day")).where("pos is not null and day is not null")
+    days = {r["day"]: r["count"] for r in dates.groupBy("day").count().collect()}
+    order = sorted(days)
+    slice_of = F.create_map(*[F.lit(x) for i, d in enumerate(order) for x in (d, i // together)]) if order else F.create_map(F.lit(""), F.lit(0))
+    files = max(1, *[-(-n * together // ROWS_PER_FILE) for n in [1, *days.values()]])
+    keyed = keyed.join(dates.select("pos", F.element_at(slice_of, F.col("day")).alias("slice")), "pos")
+    path = scratch(spark, "keyed")
+    keyed.repartition("slice", F.pmod(F.xxhash64("pos"), F.lit(files))).write.partitionBy("slice").parquet(path)
+    if not order:
+        return keyed.select(F.col("pos").alias("accepted_pos"), "pos", F.lit(False).alias("by_store")).where("false")
+    read = spark.read.schema(keyed.drop("slice").schema)
+    every = read.parquet(*[f"{path}/slice={i}" for i in range(-(-len(order) // together))])
+    known = every.where("content is not null").select("tokens")
+    store = FingerprintStore.create(spark, folder or scratch(spark, "store"), threshold, word_order(known, known.count()))
+    results = [accept_delivery(store, read.parquet(f"{path}/slice={i}")) for i in range(-(-len(order) // together))]
     return reduce(DataFrame.unionByName, results)
