@@ -158,7 +158,7 @@ class FingerprintStore:
     @classmethod
     def create(cls, spark: SparkSession, folder: str, threshold: float, order: Order) -> FingerprintStore:
         """An empty store. ``order`` is for good: any order gives the same matches, one that has counted like texts the fewest candidates."""
-        state = {"version": 0, "threshold": threshold, "parts": 1, "keys": 0, "filter": None, "tables": {"exact": [], "sets": [], "keys": []}}
+        state = {"version": 0, "threshold": threshold, "parts": 1, "keys": 0, "filter": None, "tables": {"rows": [], "keys": []}}
         store = cls(spark, folder, state, order)
         ranks = pd.DataFrame({"hash": order.hashes.astype(np.int64), "rank": order.ranks.astype(np.int64)})
         spark.createDataFrame(ranks, "hash long, rank long").coalesce(1).write.parquet(f"{store.folder}/order")
@@ -219,7 +219,8 @@ class FingerprintStore:
         return {"parts": parts, "keys": total, "filter": self.write("filter", made)}
 
 
-STORED = {"exact": "key string, old long", "sets": f"tokens array<long>, {SKETCH}", "keys": KEYS}
+SETS = f"exact array<string>, content string, tokens array<long>, {SKETCH}"
+STORED = {"rows": SETS, "keys": KEYS}
 
 
 def _files(spark: SparkSession, path: str) -> tuple:
@@ -255,18 +256,19 @@ def keyed_batch(rows: DataFrame, contents: DataFrame, *, pos: str, source: str,
 
 
 def with_sketches(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-    """mapInPandas body: each set (id, tokens) with its size and wide parity."""
+    """mapInPandas body: rows (exact, content, tokens, id) with the size and wide parity of their sets; rows without words have 0."""
+    none = np.empty(0, dtype=np.int64)
     for batch in batches:
-        for sketch in wide_sketches(iter([batch])):
-            own = batch.set_index("id").loc[sketch["id"]].reset_index()
-            yield pd.concat([own[["tokens"]], sketch], axis=1)
+        tokens = batch["tokens"].map(lambda t: none if t is None else t)
+        sketch = [*wide_sketches(iter([batch[["id"]].assign(tokens=tokens)]))]
+        yield pd.concat([batch[["exact", "content", "tokens"]].reset_index(drop=True), *([pd.concat(sketch, ignore_index=True)] if sketch else [])], axis=1)
 
 
 def match_exact(store: FingerprintStore, batch: DataFrame, count: int) -> DataFrame:
-    """(pos, accepted_pos, same): rows with a URL, title or word set of the store, its least pos, and whether it is the word set."""
+    """(pos, accepted_pos): rows with a URL, title or word set of the store, and its least pos."""
     own = batch.select("pos", F.explode(every_key()).alias("key"))
-    found = store.read("exact").join(sided(own, 3 * count), "key").groupBy("pos")
-    return found.agg(F.min("old").alias("accepted_pos"), F.bool_or(F.left("key", F.lit(1)) == "c").alias("same"))
+    old = store.read("rows").select(F.col("id").alias("old"), F.explode(every_key()).alias("key"))
+    return old.join(sided(own, 3 * count), "key").groupBy("pos").agg(F.min("old").alias("accepted_pos"))
 
 
 def every_key() -> Column:
@@ -292,28 +294,21 @@ def match_fingerprints(store: FingerprintStore, sets: DataFrame, count: int) ->
         looked = looked.where(smaller_has_key("o", "n") & may_match("o", "n", store.threshold))
         pairs = pairs.unionByName(looked.select(F.col("n.id").alias("id"), F.col("o.id").alias("other")))
     pairs, n = counted(pairs.distinct(), "pairs")
-    old = store.read("sets")
+    old = store.read("rows")
     known = sets.select("tokens", *_names(SKETCH))
-    known = known if old is None else old.unionByName(known)
-    wide = tuple(f"w{i}" for i in range(WIDE))
-    mine = lambda side, columns: side.select(*columns)
-    near = (
-        mine(known, _names(SKETCH)).alias("y").join(sided(pairs, n["rows"]).alias("p"), F.col("p.other") == F.col("y.id"))
-        .join(sided(mine(sets, _names(SKETCH)), count).alias("x"), F.col("p.id") == F.col("x.id"))
-        .where(may_match("x", "y", store.threshold, wide))
-        .select(F.col("p.id").alias("id"), F.col("p.other").alias("other"))
-    )
-    near, n = counted(near, "near")
+    known = known if old is None else old.select("tokens", *_names(SKETCH)).unionByName(known)
+    near = known.alias("y").join(sided(pairs, n["rows"]).alias("p"), F.col("p.other") == F.col("y.id"))
+    near = near.join(sided(sets.select(*_names(SKETCH)), count).alias("x"), F.col("p.id") == F.col("x.id"))
+    near = near.where(may_match("x", "y", store.threshold, tuple(f"w{i}" for i in range(WIDE))))
     links = (
-        known.select(F.col("id").alias("other"), F.col("tokens").alias("other_tokens"))
-        .join(sided(near, n["rows"]), "other")
+        near.select(F.col("p.id").alias("id"), F.col("p.other").alias("other"), F.col("y.tokens").alias("other_tokens"))
         .join(sets.select("id", "tokens"), "id")
         .where(overlap_holds("tokens", "other_tokens", store.threshold))
         .select("id", "other")
     )
     links, n = counted(links, "links")
-    for table in (met, pairs, near):
-        discard(table)
+    discard(met)
+    discard(pairs)
     return links, n["rows"]
 
 
@@ -321,7 +316,7 @@ def _names(schema: str) -> list[str]:
     return [c.split()[0] for c in schema.split(", ")]
 
 
-#: Rows of (row, key) that one task settles in order; more go through rounds until so few are open.
+#: Rows and links, or rows of (row, key), that one task settles in order; more go through rounds until so few are open.
 SETTLED_TOGETHER = 300_000
 
 
@@ -346,6 +341,64 @@ def settled(waiting: DataFrame) -> DataFrame:
     return waiting.withColumn("all", F.lit(1)).groupBy("all").applyInPandas(_settle, "pos long, accepted_pos long")
 
 
+ROW, LINK, HIT = 0, 1, 2
+REFUSED = "accepted_pos long, pos long, by_store boolean"
+
+
+def _settle_delivery(batch: pd.DataFrame) -> pd.DataFrame:
+    """A small delivery in one task: its rows, the links of its word sets (pos, other) and its rows' exact matches in the store."""
+    by = dict(list(batch.groupby("what")))
+    rows, links, hits = (by.get(k, batch.iloc[:0]) for k in (ROW, LINK, HIT))
+    rows = rows.sort_values("pos", kind="stable")
+    content_of = dict(zip(rows["pos"], rows["content"]))
+    in_store = dict(zip(hits["pos"], hits["other"]))
+    near_store: dict[str, int] = {}
+    near: dict[str, list[str]] = {}
+    for pos, other in zip(links["pos"].tolist(), links["other"].tolist()):
+        own = content_of[pos]
+        if other < pos:
+            near_store[own] = min(other, near_store.get(own, other))
+        else:
+            near.setdefault(own, []).append(content_of[other])
+            near.setdefault(content_of[other], []).append(own)
+    taken: dict[str, int] = {}
+    found = []
+    for pos, exact, content in zip(rows["pos"].tolist(), rows["exact"], rows["content"]):
+        keys = [*exact] if content is None else [*exact, content]
+        old = min(in_store.get(pos, pos), near_store.get(content, pos))
+        least = old if old < pos else min([pos, *(taken[k] for k in (*keys, *near.get(content, ())) if k in taken)])
+        if least < pos:
+            found.append((least, pos, old < pos))
+        else:
+            taken |= {k: pos for k in keys if k not in taken}
+    return pd.DataFrame(found, columns=["accepted_pos", "pos", "by_store"])
+
+
+def refused_rows(store: FingerprintStore, names: DataFrame, sets: DataFrame, links: DataFrame, count: int, linked: int) -> DataFrame:
+    """(accepted_pos, pos, by_store) of a delivery's refused rows (pos, exact, content)."""
+    exact = match_exact(store, names, count) if store.state["tables"]["rows"] else None
+    if count + linked <= SETTLED_TOGETHER:
+        blank = {"other": F.lit(0).cast("long"), "exact": F.lit(None).cast("array<string>"), "content": F.lit(None).cast("string")}
+        every = names.select(F.lit(ROW).alias("what"), "pos", blank["other"].alias("other"), "exact", "content")
+        pairs = [links.select(F.lit(LINK).alias("what"), F.col("id").alias("pos"), "other")]
+        if exact is not None:
+            pairs.append(exact.select(F.lit(HIT).alias("what"), "pos", F.col("accepted_pos").alias("other")))
+        for rows in pairs:
+            every = every.unionByName(rows.select("*", *[blank[c].alias(c) for c in ("exact", "content")]))
+        return every.withColumn("all", F.lit(1)).groupBy("all").applyInPandas(_settle_delivery, REFUSED)
+    content_of = sets.select("id", "content")
+    inside = links.where("id < other").join(content_of.select("id", F.col("content").alias("a")), "id")
+    inside = inside.join(content_of.select(F.col("id").alias("other"), F.col("content").alias("b")), "other").select("a", "b")
+    if exact is None:
+        return resolve(names, inside).select("accepted_pos", "pos", F.lit(False).alias("by_store"))
+    near = links.where("other < id").groupBy("id").agg(F.min("other").alias("accepted_pos")).join(content_of, "id").select("content", "accepted_pos")
+    near = names.select("pos", "content").join(near, "content").select("pos", "accepted_pos")
+    known = materialize(exact.unionByName(near).groupBy("pos").agg(F.min("accepted_pos").alias("accepted_pos")), "known")
+    rest = names.join(known.select("pos"), "pos", "left_anti")
+    inner = resolve(rest, inside).select("accepted_pos", "pos", F.lit(False).alias("by_store"))
+    return inner.unionByName(known.select("accepted_pos", "pos", F.lit(True).alias("by_store")))
+
+
 def resolve(rows: DataFrame, links: DataFrame) -> DataFrame:
     """(pos, accepted_pos) of every row refused among ``rows`` themselves, taken in order of pos.
 
@@ -391,60 +444,40 @@ def resolve(rows: DataFrame, links: DataFrame) -> DataFrame:
     return refused.groupBy("pos").agg(F.min("accepted_pos").alias("accepted_pos"))
 
 
-def accept_delivery(store: FingerprintStore, batch: DataFrame) -> DataFrame:
+def accept_delivery(store: FingerprintStore, batch: DataFrame, count: int | None = None) -> DataFrame:
     """(accepted_pos, pos, by_store) of the delivery's refused rows; what is accepted goes into the store.
 
-    ``batch`` is a written result of :func:`keyed_batch`, of one or more batches in order of pos, all later than what the store has. A row
-    is refused when it matches a row accepted before, of the store or of its own delivery: by canonical URL, by source
-    and title, or by word sets of a similarity of at least the store's threshold. Rows with a null or empty url, title or
-    content have no such key; a row without any key is accepted. pos must be unique. Only the delivery's own fingerprints
-    are computed: the filter screens them, the store's are looked up by key, and hits are verified on the whole word sets.
+    ``batch`` is a written result of :func:`keyed_batch`, of one or more batches in order of pos, all later than what the store has;
+    ``count`` its rows, where they are known. A row is refused when it matches a row accepted before, of the store or of its own
+    delivery: by canonical URL, by source and title, or by word sets of a similarity of at least the store's threshold. Rows with a
+    null or empty url, title or content have no such key; a row without any key is accepted. pos must be unique. Only the delivery's own
+    fingerprints are computed: the filter screens them, the store's are looked up by key, and hits are verified on the whole word sets.
     Only accepted rows add fingerprints, sets and bits of the filter.
     """
-    names, count = batch.select("pos", "exact", "content"), batch.count()
-    exact = materialize(match_exact(store, names, count), "exact") if store.state["tables"]["exact"] else None
-    filled = batch.where("content is not null").select("content", "pos", "tokens")
-    if exact is not None:  # an accepted row's word set has no earlier match than that row
-        filled = filled.join(sided(exact.where("same").select("pos"), count), "pos", "left_anti")
-    first = filled.groupBy("content").agg(F.min("pos").alias("pos"))
-    first = filled.select("pos", "tokens").join(sided(first, count), "pos")
-    ids = materialize(first.select(F.col("pos").alias("id"), "content", "tokens"), "leaders")
-    sets, n = counted(ids.select("id", "tokens").mapInPandas(with_sketches, f"tokens array<long>, {SKETCH}"), "sets")
+    names, count = batch.select("pos", "exact", "content"), batch.count() if count is None else count
+    first = batch.where("content is not null").groupBy("content").agg(F.min(F.struct("pos", "tokens")).alias("first"))
+    first = first.select(F.lit(None).cast("array<string>").alias("exact"), "content", "first.tokens", F.col("first.pos").alias("id"))
+    sets, n = counted(first.mapInPandas(with_sketches, SETS), "sets")
     links, linked = match_fingerprints(store, sets, n["rows"])
-    content_of = ids.select("id", "content")
-    known, rest, refused_there = None, names, 0
-    if exact is not None:
-        near = links.where("other < id").groupBy("id").agg(F.min("other").alias("accepted_pos")).join(content_of, "id").select("content", "accepted_pos")
-        near = names.select("pos", "content").join(sided(near, linked), "content").select("pos", "accepted_pos")
-        known = exact.select("pos", "accepted_pos").unionByName(near).groupBy("pos").agg(F.min("accepted_pos").alias("accepted_pos"))
-        known, n = counted(known, "known")
-        refused_there = n["rows"]
-        rest = names.join(sided(known.select("pos"), refused_there), "pos", "left_anti")
-    inside = links.where("id < other").join(content_of.select("id", F.col("content").alias("a")), "id")
-    inside = inside.join(content_of.select(F.col("id").alias("other"), F.col("content").alias("b")), "other").select("a", "b")
-    inner, n = counted(resolve(rest, inside), "refused")
-    gone = inner.select("pos") if known is None else inner.select("pos").unionByName(known.select("pos"))
-    accepted = batch.join(sided(gone, n["rows"] + refused_there), "pos", "left_anti")
-    # Of one word set at most one row is accepted.
-    own = accepted.where("content is not null").select(F.col("pos").alias("id"), F.lit(0).alias("salt"), "tokens")
+    refused, n = counted(refused_rows(store, names, sets, links, count, linked), "refused")
+    accepted = batch.join(sided(refused.select("pos"), n["rows"]), "pos", "left_anti").withColumnRenamed("pos", "id")
 
     def prints() -> tuple[str, dict[str, object]]:
         seen = Observation()
+        # Of one word set at most one row is accepted.
+        own = accepted.where("content is not null").select("id", F.lit(0).alias("salt"), "tokens")
         rows = own.mapInPandas(key_rows(store.order, store.threshold), KEYS).observe(seen, F.count(F.lit(1)).alias("rows"))
         name = store.write("keys", rows)
         return name, store.extended_filter(name, seen.get["rows"])
 
-    with ThreadPoolExecutor(3) as pool:
+    with ThreadPoolExecutor(2) as pool:
         made = pool.submit(prints)
-        rows = pool.submit(store.write, "exact", accepted.select(F.explode(every_key()).alias("key"), F.col("pos").alias("old")))
-        theirs = pool.submit(store.write, "sets", own.select("id", "tokens").mapInPandas(with_sketches, STORED["sets"]))
+        rows = pool.submit(store.write, "rows", accepted.select("exact", "content", "tokens", "id").mapInPandas(with_sketches, SETS))
         (keys, filtered), before = made.result(), store.state["tables"]
-        tables = {"exact": [*before["exact"], rows.result()], "sets": [*before["sets"], theirs.result()], "keys": [*before["keys"], keys]}
+        tables = {"rows": [*before["rows"], rows.result()], "keys": [*before["keys"], keys]}
     store.commit(tables=tables, **filtered)
-    for table in (ids, sets, links, *([exact] if exact is not None else [])):
-        discard(table)
-    refused = inner.withColumn("by_store", F.lit(False))
-    refused = refused if known is None else refused.unionByName(known.withColumn("by_store", F.lit(True)))
+    discard(sets)
+    discard(links)
     return refused.select("accepted_pos", "pos", "by_store")
 
 
@@ -484,5 +517,8 @@ def replay(
     every = read.parquet(*[f"{path}/slice={i}" for i in range(-(-len(order) // together))])
     known = every.where("content is not null").select("tokens")
     store = FingerprintStore.create(spark, folder or scratch(spark, "store"), threshold, word_order(known, known.count()))
-    results = [accept_delivery(store, read.parquet(f"{path}/slice={i}")) for i in range(-(-len(order) // together))]
+    results = []
+    for i in range(-(-len(order) // together)):
+        count = sum(days[d] for d in order[i * together : (i + 1) * together])
+        results.append(accept_delivery(store, read.parquet(f"{path}/slice={i}"), count))
     return reduce(DataFrame.unionByName, results)

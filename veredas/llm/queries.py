@@ -42,6 +42,7 @@ def p4_found(spark: SparkSession, sf_dir: str) -> DataFrame:
         load(spark, sf_dir, "cleaned_items"),
         content_texts=["title", "clean_text"],
         threshold=0.6,
+        together=2,
     ).select("accepted_pos", "pos")
 
 
