@@ -5,22 +5,31 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-from veredas.functions.text import collapse_spaces, fold, words
+from veredas.functions.text import collapse_spaces, words
 
-# Words of a title that carry no topic, folded.
+# Words of a title that carry no topic, folded, of three letters or more (shorter ones are no tokens at all).
 STOPWORDS = (
-    "ante con contra del desde donde durante entre era esta este estos estas fue han hasta hay las los mas muy nos para pero por que "
-    "segun ser sin sobre son sus tras una unas unos como cual cuando ese eso esa esas esos otro otra otros otras todo toda todos todas"
+    "algo algun alguna algunas alguno algunos ante antes aqui asi aunque bajo bien cada casi como con contra cual cuales cuando cuanto "
+    "del desde donde durante ella ellas ellos entre era eran eres esa esas ese eso esos esta estaba estaban estado estan estar estas "
+    "este esto estos estoy fue fueron han has hasta hay haya hubo las les los mas mis mucho muchos muy nada nos nosotras nosotros "
+    "nuestra nuestras nuestro nuestros otra otras otro otros para pero poco por porque que qué quien quienes sea sean segun ser sido "
+    "siempre sin sobre sois solo somos son soy sus tambien tan tanto tiene tienen todo todos tras tus una unas uno unos vosotras "
+    "vosotros vuestra vuestras vuestro vuestros the and for with from are was were been being lunes martes miercoles jueves viernes "
+    "sabado domingo enero febrero marzo abril mayo junio julio agosto septiembre octubre noviembre diciembre"
 ).split()
-# Kinds of legal acts, in the order in which they are tried.
-ACT_KINDS = [
-    r"acto\s+legislativo", r"decreto[-\s]+ley", "decreto", "ley", r"resoluci[oó]n", r"res\.?",
-    r"circular(?:\s+(?:externa|conjunta))?", "acuerdo", "directiva", "concepto",
-]
+# Months by name.
 MONTHS = "enero febrero marzo abril mayo junio julio agosto septiembre setiembre octubre noviembre diciembre".split()
-ACT_PATTERN = (
-    rf"(?i)\b({'|'.join(ACT_KINDS)})\s*(?:No\.?|N[úu]m(?:ero)?\.?|Nro\.?)?\s*([A-Z]?[0-9]{{1,6}}(?:[-/][0-9]{{1,5}})?)\s*(?:del|de)\s+"
-    rf"(?:[0-9]{{1,2}}[°º]?\s+(?:de\s+)?(?:{'|'.join(MONTHS)})\s+(?:de\s+)?)?((?:19|20)[0-9]{{2}})\b"
+#: Kinds of legal acts by the words that name them, folded; and the words that may stand between kind and number.
+ACTS = {
+    "acto legislativo": "acto legislativo", "acuerdo": "acuerdo", "circular": "circular", "circular conjunta": "circular conjunta",
+    "circular externa": "circular externa", "concepto": "concepto", "decreto": "decreto", "decreto ley": "decreto ley",
+    "directiva": "directiva", "ley": "ley", "res": "resolucion", "resolucion": "resolucion",
+}
+NUMBER_WORDS = ["n", "no", "nro", "num", "numero"]
+#: One to three words, a number, and a year, perhaps with a day and month before it: the shape of a citation, whatever it cites.
+CITED = (
+    r"((?:\p{L}+[.\s-]+){1,3})([A-Za-z]?[0-9]{1,6}(?:[-/][0-9]{1,5})?)\s*del?\s+"
+    r"(?:[0-9]{1,2}[°º]?\s+(?:de\s+)?\p{L}{4,10}\s+(?:de\s+)?)?((?:19|20)[0-9]{2})\b"
 )
 
 
@@ -47,30 +56,32 @@ def jaccard(a: Column, b: Column) -> Column:
 
 
 def legal_acts(text: Column) -> Column:
-    """Distinct acts named in a text, in order: array of (kind, number, year), kinds folded, numbers without leading zeros."""
-    flat = collapse_spaces(text)
-    parts = [F.regexp_extract_all(flat, F.lit(ACT_PATTERN), i) for i in (1, 2, 3)]
-    number = lambda n: F.array_join(
-        F.transform(
-            F.split(F.regexp_replace(F.upper(n), "/", "-"), "-"),
-            lambda p: F.when(F.ltrim(p, F.lit("0")) == "", "0").otherwise(F.ltrim(p, F.lit("0"))),
-        ),
-        "-",
+    """Distinct acts named in a text, in order: array of (kind, number, year), kinds folded, numbers without leading zeros.
+
+    The text is searched once, for citations of anything; what is cited is then looked up by the last two words before the number, else by the last.
+    """
+    cited = F.regexp_extract_all(collapse_spaces(text), F.lit(CITED), 0)
+    part = lambda c, i: F.regexp_extract(c, CITED, i)
+    acts = F.transform(
+        cited, lambda c: F.struct(act_kind(part(c, 1)).alias("kind"), act_number(part(c, 2)).alias("number"), part(c, 3).alias("year"))
     )
-    return F.array_distinct(
-        F.transform(
-            F.arrays_zip(parts[0].alias("k"), parts[1].alias("n"), parts[2].alias("y")),
-            lambda a: F.struct(
-                act_kind(a.getItem("k")).alias("kind"), number(a.getItem("n")).alias("number"), a.getItem("y").alias("year")
-            ),
-        )
+    return F.array_distinct(F.filter(acts, lambda a: a.getItem("kind").isNotNull()))
+
+
+def act_kind(before: Column) -> Column:
+    """Canonical kind of the act that the words before a number name, null if they name none."""
+    known = F.create_map(*[F.lit(x) for pair in ACTS.items() for x in pair])
+    named = F.filter(words(before), lambda w: ~w.isin(NUMBER_WORDS))
+    last = lambda n: F.array_join(F.slice(named, -n, n), " ")
+    return F.when(F.size(named) > 1, F.coalesce(F.element_at(known, last(2)), F.element_at(known, last(1)))).when(
+        F.size(named) == 1, F.element_at(known, last(1))
     )
 
 
-def act_kind(kind: Column) -> Column:
-    """Canonical kind: folded, abbreviations spelt out, hyphens as spaces."""
-    flat = F.regexp_replace(fold(kind), r"[-\s.]+", " ")
-    return F.when(flat.startswith("res"), "resolucion").otherwise(F.trim(flat))
+def act_number(written: Column) -> Column:
+    """Number of an act in capitals, its parts joined by hyphens and without leading zeros."""
+    parts = F.split(F.translate(F.upper(written), "/", "-"), "-")
+    return F.array_join(F.transform(parts, lambda p: F.regexp_replace(p, "^0+(?=.)", "")), "-")
 
 
 def number_in_text(text: Column) -> Column:

@@ -9,7 +9,9 @@ from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from veredas.functions.items import (
-    ACT_PATTERN,
+    ACTS,
+    CITED,
+    NUMBER_WORDS,
     STOPWORDS,
     jaccard,
     legal_acts,
@@ -627,14 +629,19 @@ def metadata_fields(spark: SparkSession, sf: str) -> DataFrame:
     return load(spark, sf, "raw_items").select(parsed.alias("m")).groupBy("m.extraction", "m.attempt").agg(F.count("*").alias("items"))
 
 
-_ACT_PARTS = ", ".join(f"unnest(regexp_extract_all(t, '{ACT_PATTERN}', {i})) as {n}" for i, n in ((1, "k"), (2, "n"), (3, "y")))
+_CITED_PARTS = ", ".join(f"unnest(regexp_extract_all(t, '{CITED}', {i})) as {n}" for i, n in ((1, "k"), (2, "n"), (3, "y")))
+_ACT_NAMES = ", ".join(f"('{name}', '{kind}')" for name, kind in ACTS.items())
+_NUMBER_WORDS = ", ".join(f"'{w}'" for w in NUMBER_WORDS)
 
 
 @query(f"""
-with a as (select doc_id, {_ACT_PARTS} from (select doc_id, trim(regexp_replace(text, '\\s+', ' ', 'g')) as t from documents)), c as (
-  select doc_id, trim(regexp_replace(strip_accents(lower(k)), '[-\\s.]+', ' ', 'g')) as k, regexp_replace(upper(replace(n, '/', '-')), '(^|-)0+([0-9])', '\\1\\2', 'g') as n, y from a
+with a as (select doc_id, {_CITED_PARTS} from (select doc_id, trim(regexp_replace(text, '\\s+', ' ', 'g')) as t from documents)), c as (
+  select doc_id, list_filter(regexp_extract_all(strip_accents(lower(k)), '[\\p{{L}}\\p{{N}}]+'), lambda w: w not in ({_NUMBER_WORDS})) as w,
+    regexp_replace(upper(replace(n, '/', '-')), '(^|-)0+([0-9])', '\\1\\2', 'g') as n, y from a
+), names(name, kind) as (values {_ACT_NAMES}), k as (
+  select c.*, two.kind as two, one.kind as one from c left join names two on two.name = array_to_string(w[-2:], ' ') and len(w) > 1 left join names one on one.name = w[-1]
 )
-select distinct doc_id, case when starts_with(k, 'res') then 'resolucion' else k end as kind, n as number, y as year from c
+select distinct doc_id, coalesce(two, one) as kind, n as number, y as year from k where coalesce(two, one) is not null
 """)
 def legal_act_mentions(spark: SparkSession, sf: str) -> DataFrame:
     acts = load(spark, sf, "documents").select("doc_id", F.explode(legal_acts(F.col("text"))).alias("a"))

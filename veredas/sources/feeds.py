@@ -2,45 +2,88 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+import html
+import re
+from collections.abc import Iterator
+
+import pandas as pd
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
-from veredas.functions.text import collapse_spaces
+#: What a feed is made of: sections of plain characters, comments, and tags with a name and attributes.
+TOKEN = re.compile(r"<!\[CDATA\[(?P<plain>.*?)(?:\]\]>|\Z)|<!--.*?(?:-->|\Z)|<(?P<close>/?)(?P<name>[\w:.-]+)(?P<rest>[^>]*)>|<[!?][^>]*>", re.S)
+HREF = re.compile(r"""\bhref\s*=\s*(?:"([^"]*)"|'([^']*)')""", re.I)
+# The elements that hold an entry, and those that hold each of its fields, the first one that has text winning.
+ENTRIES = ("item", "entry")
+FIELDS = {
+    "url": ("link", "guid"),
+    "title": ("title",),
+    "summary": ("description", "summary", "content"),
+    "published": ("pubdate", "published", "updated", "dc:date"),
+}
+WANTED = {name for names in FIELDS.values() for name in names}
 
-ENTRY = r"(?is)<(item|entry)\b[^>]*>(.*?)</\1\s*>"
 
+def entries_of(body: str | None) -> list[dict[str, str | None]]:
+    """The whole entries of a feed in their order, each with its fields; a field without text is None.
 
-def tag_text(blob: Column, names: list[str]) -> Column:
-    """Text of the first of these tags that has any: CDATA opened, markup dropped, basic entities decoded."""
-    found = []
-    for name in names:
-        text = F.regexp_extract(blob, rf"(?is)<{name}\b[^>]*>(.*?)</{name}\s*>", 1)
-        text = F.regexp_replace(text, r"(?s)<!\[CDATA\[(.*?)\]\]>", "$1")
-        text = F.regexp_replace(text, r"(?s)<[^>]*>", " ")
-        for entity, char in (("&lt;", "<"), ("&gt;", ">"), ("&quot;", '"'), ("&#39;", "'"), ("&nbsp;", " "), ("&amp;", "&")):
-            text = F.replace(text, F.lit(entity), F.lit(char))
-        found.append(F.nullif(collapse_spaces(text), F.lit("")))
-    return F.coalesce(*found)
+    One pass over the feed's tokens: between an entry's tags the characters go to the outermost wanted element that is open. An entry
+    that isn't closed before the next one opens, or at all, is dropped; so is one without a link.
+    """
+    found: list[dict[str, str | None]] = []
+    texts: dict[str, list[str]] | None = None
+    field = kind = None
+    link, at = "", 0
+    for token in TOKEN.finditer(body or ""):
+        if texts is not None and field:
+            texts.setdefault(field, []).append(html.unescape(body[at : token.start()]))
+        at = token.end()
+        name = (token["name"] or "").lower()
+        if token["plain"] is not None:
+            if texts is not None and field:
+                texts.setdefault(field, []).append(token["plain"])
+        elif name in ENTRIES and not token["close"]:
+            texts, field, kind, link = {}, None, name, ""
+        elif texts is None or not name:
+            continue
+        elif name == kind:
+            shown = {k: " ".join("".join(v).split()) for k, v in texts.items()}
+            entry = {key: next((shown[n] for n in names if shown.get(n)), None) for key, names in FIELDS.items()}
+            entry["url"] = link or entry["url"]
+            if entry["url"]:
+                found.append(entry)
+            texts = field = None
+        elif token["close"]:
+            field = None if name == field else field
+            if field:
+                texts[field].append(" ")
+        else:
+            if name == "link" and not link and (href := HREF.search(token["rest"])):
+                link = html.unescape(href[1] or href[2] or "").strip()
+            if field is None and name in WANTED and not token["rest"].endswith("/"):
+                field = name
+            elif field:
+                texts.setdefault(field, []).append(" ")
+    return found
 
 
 def feed_entries(pages: DataFrame, *, body: str = "body") -> DataFrame:
     """One row per entry: the page's columns but the body, then entry_no, url, title, summary and published as text.
 
-    Entries are found by their tags alone, so a broken feed gives those that are whole. An entry without link is dropped; a null or
-    empty body gives none. Entries stay in the page's order, numbered from 0.
+    A broken feed gives those entries that are whole. An entry without link is dropped; a null or empty body gives none. Entries stay
+    in the page's order, numbered from 0 among those that are kept; a title or summary without text is empty, a date without text null.
     """
-    blobs = F.regexp_extract_all(F.coalesce(body, F.lit("")), F.lit(ENTRY), 2)
-    rows = pages.select(*[c for c in pages.columns if c != body], F.posexplode(blobs).alias("entry_no", "_blob"))
-    blob = F.col("_blob")
-    link = F.coalesce(
-        F.nullif(F.regexp_extract(blob, r"(?is)<link\b[^>]*\bhref\s*=\s*[\"']([^\"']+)[\"']", 1), F.lit("")),
-        tag_text(blob, ["link", "guid"]),
-    )
-    return rows.withColumns(
-        {
-            "url": link,
-            "title": F.coalesce(tag_text(blob, ["title"]), F.lit("")),
-            "summary": F.coalesce(tag_text(blob, ["description", "summary", "content"]), F.lit("")),
-            "published": tag_text(blob, ["pubDate", "published", "updated", "dc:date"]),
-        }
-    ).where("url is not null").drop("_blob")
+    kept = [c for c in pages.columns if c != body]
+    schema = StructType(pages.select(*kept).schema.fields)
+    for name, kind in (("entry_no", "int"), ("url", "string"), ("title", "string"), ("summary", "string"), ("published", "string")):
+        schema = schema.add(name, kind)
+
+    def emit(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for batch in batches:
+            every = [entries_of(b) for b in batch["_body"]]
+            rows = batch[kept].loc[batch.index.repeat([len(x) for x in every])].reset_index(drop=True)
+            flat = [(i, e["url"], e["title"] or "", e["summary"] or "", e["published"]) for x in every for i, e in enumerate(x)]
+            yield pd.concat([rows, pd.DataFrame(flat, columns=["entry_no", "url", "title", "summary", "published"])], axis=1)
+
+    return pages.select(*kept, F.col(body).alias("_body")).mapInPandas(emit, schema)
