@@ -9,7 +9,7 @@ from collections.abc import Iterator
 import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.types import StructType
+from pyspark.sql.types import IntegerType, StringType, StructType
 
 #: What a feed is made of: sections of plain characters, comments, and tags with a name and attributes.
 TOKEN = re.compile(r"<!\[CDATA\[(?P<plain>.*?)(?:\]\]>|\Z)|<!--.*?(?:-->|\Z)|<(?P<close>/?)(?P<name>[\w:.-]+)(?P<rest>[^>]*)>|<[!?][^>]*>", re.S)
@@ -29,7 +29,7 @@ def entries_of(body: str | None) -> list[dict[str, str | None]]:
     """The whole entries of a feed in their order, each with its fields; a field without text is None.
 
     One pass over the feed's tokens: between an entry's tags the characters go to the outermost wanted element that is open. An entry
-    that isn't closed before the next one opens, or at all, is dropped; so is one without a link.
+    that isn't closed before the next one opens, or at all, is dropped.
     """
     found: list[dict[str, str | None]] = []
     texts: dict[str, list[str]] | None = None
@@ -50,9 +50,8 @@ def entries_of(body: str | None) -> list[dict[str, str | None]]:
         elif name == kind:
             shown = {k: " ".join("".join(v).split()) for k, v in texts.items()}
             entry = {key: next((shown[n] for n in names if shown.get(n)), None) for key, names in FIELDS.items()}
-            entry["url"] = link or entry["url"]
-            if entry["url"]:
-                found.append(entry)
+            entry["url"] = link or entry["url"] or None
+            found.append(entry)
             texts = field = None
         elif token["close"]:
             field = None if name == field else field
@@ -72,18 +71,18 @@ def feed_entries(pages: DataFrame, *, body: str = "body") -> DataFrame:
     """One row per entry: the page's columns but the body, then entry_no, url, title, summary and published as text.
 
     A broken feed gives those entries that are whole. An entry without link is dropped; a null or empty body gives none. Entries stay
-    in the page's order, numbered from 0 among those that are kept; a title or summary without text is empty, a date without text null.
+    in the page's order, numbered from 0, also those without link; a title or summary without text is empty, a date without text null.
     """
     kept = [c for c in pages.columns if c != body]
     schema = StructType(pages.select(*kept).schema.fields)
-    for name, kind in (("entry_no", "int"), ("url", "string"), ("title", "string"), ("summary", "string"), ("published", "string")):
+    for name, kind in (("entry_no", IntegerType()), ("url", StringType()), ("title", StringType()), ("summary", StringType()), ("published", StringType())):
         schema = schema.add(name, kind)
 
     def emit(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
             every = [entries_of(b) for b in batch["_body"]]
-            rows = batch[kept].loc[batch.index.repeat([len(x) for x in every])].reset_index(drop=True)
-            flat = [(i, e["url"], e["title"] or "", e["summary"] or "", e["published"]) for x in every for i, e in enumerate(x)]
+            rows = batch[kept].loc[batch.index.repeat([sum(e["url"] is not None for e in x) for x in every])].reset_index(drop=True)
+            flat = [(i, e["url"], e["title"] or "", e["summary"] or "", e["published"]) for x in every for i, e in enumerate(x) if e["url"]]
             yield pd.concat([rows, pd.DataFrame(flat, columns=["entry_no", "url", "title", "summary", "published"])], axis=1)
 
     return pages.select(*kept, F.col(body).alias("_body")).mapInPandas(emit, schema)
