@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -21,27 +20,42 @@ def quota_sample(rows: DataFrame, kind: str, quotas: dict[str, int], order: list
     return marked.orderBy("pick", *order).limit(total).drop("_rank")
 
 
-def diversified_top(rows: DataFrame, key: str, score: str, sources: str, top_n: int = 10, share: float = 0.3) -> DataFrame:
-    """(key, place): the first ``top_n`` rows by score, none whose sources all have had their share of the places.
+def diversified_order(rows: DataFrame, key: str, score: str, sources: str, top_n: int = 10, share: float = 0.3) -> DataFrame:
+    """(key, score, pick, place) of all rows: the ``top_n`` placed ones first (pick 1), then the deferred ones by score (pick 2, place null).
 
-    A row is passed over only if every source of it is at the cap, and counts for each of them. Of the rows with one set of sources only the
-    first ``top_n`` can be placed, so only those meet in the fold.
+    Rows are taken by score, then key. A row is passed over only if every source of it has had its share of the places, and counts for
+    each of them; null sources don't count, and a row without sources is never passed over. Rows whose sources have all had their
+    share can never be placed later, so they are filtered out and only as many of the others as may fill the places come to the driver:
+    at most ``top_n`` times ``LOOK`` rows a round, each round placing at least one. The order of the deferred ones is that of score and key.
     """
     most = max(1, int(top_n * share))
-    distinct = F.array_sort(F.array_distinct(F.filter(sources, lambda s: s.isNotNull())))
+    distinct = F.array_sort(F.array_distinct(F.filter(F.coalesce(sources, F.array().cast("array<string>")), lambda s: s.isNotNull())))
     best = rows.select(F.col(key).alias("key"), F.col(score).alias("score"), distinct.alias("sources"))
-    best = top_per_group(best, ["sources"], [F.desc("score"), F.asc("key")], top_n)
-
-    def fold(batch: pd.DataFrame) -> pd.DataFrame:
-        used: dict[str, int] = {}
-        placed = []
-        for row in batch.sort_values(["score", "key"], ascending=[False, True]).itertuples():
-            names = list(row.sources)
-            if len(placed) < top_n and not (names and all(used.get(s, 0) >= most for s in names)):
+    order = [F.desc_nulls_last("score"), F.asc("key")]
+    used: dict[str, int] = {}
+    placed: list = []
+    left = best
+    while len(placed) < top_n:
+        look = top_n * LOOK
+        taken = left.orderBy(*order).limit(look).collect()
+        for row in taken:
+            if len(placed) < top_n and not (row.sources and all(used.get(s, 0) >= most for s in row.sources)):
                 placed.append(row.key)
-                for s in names:
+                for s in row.sources:
                     used[s] = used.get(s, 0) + 1
-        return pd.DataFrame({"key": placed, "place": range(1, len(placed) + 1)})
+        if len(taken) < look:
+            break
+        full = F.array(*[F.lit(s) for s, n in sorted(used.items()) if n >= most]).cast("array<string>")
+        open_to = (F.size("sources") == 0) | (F.size(F.array_except("sources", full)) > 0)
+        left = best.where(open_to & ~F.col("key").isin(placed))
+    places = F.array_position(F.array(*[F.lit(k) for k in placed]).cast(f"array<{best.schema['key'].dataType.simpleString()}>"), F.col("key"))
+    return best.select("key", "score", F.when(places > 0, 1).otherwise(2).alias("pick"), F.nullif(places, F.lit(0)).cast("long").alias("place"))
+
+
+#: Rows for each place that are looked at in one round.
+LOOK = 64
 
-    kind = best.schema["key"].dataType.simpleString()
-    return best.withColumn("all", F.lit(1)).groupBy("all").applyInPandas(fold, f"key {kind}, place long")
+
+def diversified_top(rows: DataFrame, key: str, score: str, sources: str, top_n: int = 10, share: float = 0.3) -> DataFrame:
+    """(key, place): the placed rows of :func:`diversified_order`."""
+    return diversified_order(rows, key, score, sources, top_n, share).where("pick = 1").select("key", "place")

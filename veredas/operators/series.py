@@ -49,3 +49,16 @@ def trailing_streak(rows: DataFrame, key: str, at: str, calendar: DataFrame) ->
     later = Window.orderBy(F.desc("last_at")).rowsBetween(Window.unboundedPreceding, -1)
     days = days.select("last_at", F.coalesce(F.sum("day").over(later), F.lit(0)).alias("streak"))
     return last.join(days, "last_at").select(key, "streak")
+
+
+def blocked_places(rows: DataFrame, by: list[str], block: Column, order: list[Column], name: str = "place") -> DataFrame:
+    """``rows`` with ``name``: their place within ``by``, from 1, by ``block`` and then ``order``, which must be total within a block.
+
+    Only a block is ranked together; what the earlier blocks of its group hold, one row a block, is added, so a group may be any share of the rows.
+    """
+    marked = rows.withColumn("_b", block)
+    inside = F.row_number().over(Window.partitionBy(*by, "_b").orderBy(*order)).cast("long")
+    counts = marked.groupBy(*by, "_b").agg(F.count("*").alias("_n"))
+    before = F.coalesce(F.sum("_n").over(Window.partitionBy(*by).orderBy("_b").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
+    counts = counts.select(*by, "_b", before.alias("_c"))
+    return marked.withColumn("_i", inside).join(counts, [*by, "_b"]).withColumn(name, F.col("_i") + F.col("_c")).drop("_b", "_i", "_c")
