@@ -302,7 +302,7 @@ DAY_MONTH = rf"\b([0-9]{{1,2}}) de ({'|'.join(SPANISH)})\b(?: de ([0-9]{{4}})\b)
 
 
 @query(f"""
-with f as (select doc_id, published_on, unnest(regexp_extract_all(text, '{DAY_MONTH}', 1)) as d, unnest(regexp_extract_all(text, '{DAY_MONTH}', 2)) as m, unnest(regexp_extract_all(text, '{DAY_MONTH}', 3)) as y from documents), n as (
+with f as (select doc_id, published_on, unnest(regexp_extract_all(text, '{DAY_MONTH}', 1)) as d, unnest(regexp_extract_all(text, '{DAY_MONTH}', 2)) as m, coalesce(unnest(regexp_extract_all(text, '{DAY_MONTH}', 3)), '') as y from documents), n as (
   select doc_id, published_on, y, lpad(d, 2, '0') as d, lpad(list_position({SPANISH}, m)::varchar, 2, '0') as m, case when y = '' then year(published_on)::varchar else y end as own from f
 ), p as (select doc_id, published_on, y, try_cast(own || '-' || m || '-' || d as date) as named, try_cast((year(published_on) + 1)::varchar || '-' || m || '-' || d as date) as following from n)
 select distinct doc_id, case when y = '' and named < published_on then following else named end as day from p where named is not null and not (y = '' and named < published_on and following is null)
