@@ -1,5 +1,7 @@
 from __future__ import annotations
 
+import random
+
 import pytest
 
 from veredas.llm.truncation import BY_DESIGN, COMPLETE, NAMES, OPEN, alignment, closing, truncated_texts, truncation_rates
@@ -129,3 +131,20 @@ def test_points_of_abbreviations_and_numbers(spark, end, more, verdict):
     rows = [(1, base + end, "s"), (2, base + end + more, "s")]
     out = truncated_texts(spark.createDataFrame(rows, "doc_id long, text string, source string")).where("truncated")
     assert [r.doc_id for r in out.collect()] == [1] * (verdict == "early")
+
+
+def test_recall_of_planted_cut_copies(spark):
+    draw = random.Random(8)
+    words = [f"{a}{b}" for a in "bra cru dal fen gor hil jun kas lom mir".split() for b in "ado era ino uba oste".split()]
+    rows, cut = [], []
+    for i in range(60):
+        sentences = [" ".join(draw.choice(words) for _ in range(draw.randint(8, 14))).capitalize() + "." for _ in range(9)]
+        text = " ".join(sentences)
+        at = draw.randint(int(len(text) * 0.88), int(len(text) * 0.97))
+        while text[at - 1] in ". " or text[at] in ". ":
+            at -= 1
+        rows += [(2 * i, "s", text), (2 * i + 1, "t", text[:at])]
+        cut.append(2 * i + 1)
+    out = {r.doc_id: r for r in truncated_texts(spark.createDataFrame(rows, "doc_id long, source string, text string")).collect()}
+    assert sum(out[d].truncated and out[d].evidence == "copy" for d in cut) >= 0.9 * len(cut)
+    assert not any(out[d].truncated for d in out if d % 2 == 0)

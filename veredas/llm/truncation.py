@@ -99,22 +99,33 @@ def _closing(kept: str, marked: bool) -> tuple[int, str, str, str]:
 
 def _coefficients() -> tuple[np.ndarray, np.ndarray]:
     draw = np.random.default_rng(20_011)
-    a = draw.integers(1, 1 << 63, BANDS * ROWS, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
-    return a, draw.integers(0, 1 << 63, BANDS * ROWS, dtype=np.uint64)
+    a = draw.integers(1, 1 << 63, BANDS * ROWS // 2, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
+    return a, draw.integers(0, 1 << 63, BANDS * ROWS // 2, dtype=np.uint64)
 
 
 A, B = _coefficients()
 
 
+def distinct(values: np.ndarray) -> np.ndarray:
+    """Sorted distinct values; faster than a hash for the few of one text."""
+    values = np.sort(values)
+    return values[np.concatenate([[True], values[1:] != values[:-1]])] if len(values) else values
+
+
 def bands_of(one: np.ndarray) -> np.ndarray:
-    """A key for each band of the MinHash signature of these shingles; none for texts of fewer words than a shingle."""
+    """A key for each band of the MinHash signature of these shingles; none for texts of fewer words than a shingle.
+
+    Each product of 64 bits, mixed, is two hashes of 32.
+    """
     if not len(one):
         return np.empty(0, dtype=np.int64)
-    least = np.full(BANDS * ROWS, np.iinfo(np.uint64).max, dtype=np.uint64)
+    least = np.full(BANDS * ROWS, np.iinfo(np.uint32).max, dtype=np.uint32)
     for start in range(0, len(one), 1024):
-        mixed = one[start : start + 1024, None] * A + B
-        least = np.minimum(least, (mixed ^ (mixed >> np.uint64(32))).min(axis=0))
-    rows = least.reshape(BANDS, ROWS)
+        mixed = one[start : start + 1024, None] * A
+        mixed += B
+        mixed ^= mixed >> np.uint64(32)
+        least = np.minimum(least, mixed.view(np.uint32).min(axis=0))
+    rows = least.astype(np.uint64).reshape(BANDS, ROWS)
     keys = np.arange(1, BANDS + 1, dtype=np.uint64)
     for i in range(ROWS):
         keys = (keys ^ rows[:, i]) * np.uint64(0x9E3779B97F4A7C15)
@@ -123,7 +134,7 @@ def bands_of(one: np.ndarray) -> np.ndarray:
 
 
 ENDS = (
-    "doc_id long, source string, size int, state int, first long, last long, tail string, tail_key long, last_words int, bands array<long>, "
+    "doc_id long, source string, size int, state int, first long, last long, tail string, tail_key long, bands array<long>, "
     "words array<long>, closes array<long>, totals array<long>"
 )
 
@@ -153,7 +164,11 @@ def _ends(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
             words = WORD.findall(folded)
             own = hashes.of(words)
             every.append(own)
-            for sentence in SENTENCE_END.split(folded):
+            kept, marked = strip_end(text)
+            state, first, last, tail = _closing(kept, marked)
+            sentences = SENTENCE_END.split(folded)
+            # What may be cut is no evidence of how sentences close.
+            for sentence in sentences if state == COMPLETE else sentences[:-1]:
                 end = WORD.findall(sentence[-40:])
                 if end:
                     closes[end[-1]] += 1
@@ -163,16 +178,14 @@ def _ends(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
                     word = start.group()
                     opens[word] += 1
                     names[word] += is_name_line(line)
-            kept, marked = strip_end(text)
-            state, first, last, tail = _closing(kept, marked)
             firsts.append(opening_key(first))
             lasts.append(hashes[last])
-            one = np.unique(shingles(own, WIDTH))
-            before_marks = np.unique(shingles(hashes.of(WORD.findall(fold_py(kept))), WIDTH)) if marked else one
+            one = distinct(shingles(own, WIDTH))
+            before_marks = distinct(shingles(hashes.of(WORD.findall(fold_py(kept))), WIDTH)) if marked else one
             tails.append(tail_key(tail.encode("utf-32-le")))
-            rows.append((len(before_marks), state, tail, len(tail.rsplit("\n", 1)[-1].split())))
+            rows.append((len(before_marks), state, tail))
             bands.append(bands_of(one))
-        out = pd.DataFrame(rows, columns=["size", "state", "tail", "last_words"])
+        out = pd.DataFrame(rows, columns=["size", "state", "tail"])
         out["doc_id"], out["source"], out["bands"] = batch["doc_id"].to_numpy(), batch["source"].to_numpy(), bands
         out["first"], out["last"], out["tail_key"] = _signed(firsts), _signed(lasts), _signed(tails)
         # Words that close nothing here are counted too: they may close sentences of other batches.
@@ -186,7 +199,7 @@ def _ends(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         none = np.empty(0, dtype=np.int64)
         for name, values in parts.items():
             out[name] = [values, *[none] * (len(out) - 1)] if len(out) else []
-        yield out[["doc_id", "source", "size", "state", "first", "last", "tail", "tail_key", "last_words", "bands", "words", "closes", "totals"]]
+        yield out[["doc_id", "source", "size", "state", "first", "last", "tail", "tail_key", "bands", "words", "closes", "totals"]]
 
 
 def alignment(short: str, long: str) -> str:
@@ -337,7 +350,8 @@ def truncated_texts(
     text is truncated if it closes neither with a full stop nor with a line that ends by design (link, table or label line,
     name, note in brackets or quotes, placeholder); omission marks and debris of a transfer are looked through. The
     words decide what looks alike: a line of names is a signature unless its first word opens ordinary lines, and an
-    unpunctuated line of three words or fewer is an end if its closing word closes almost everywhere else in the corpus.
+    unpunctuated text is at its end if its closing word closes almost everywhere else in the corpus: the score is the word's share of
+    closings among its other occurrences, counted over all texts but without the ends that are themselves in doubt.
 
     Banding links every text that has no full stop, or one that may belong to an abbreviation or number, to the texts of its buckets that go on after the text's last 48 characters: to the
     longest of each size class, and to all others if these don't show a cut. No bucket is collected. Null or empty texts are not truncated; a null
@@ -363,10 +377,10 @@ def truncated_texts(
     scored = doubtful.join(opening, "first", "left").join(ending, "last", "left").join(verdicts, "doc_id", "left")
     # The record's own line and word are no evidence for it.
     ordinary_start = (F.col("o_total") - 1 >= least_support) & ((F.col("o_closes") - 1) < 0.2 * (F.col("o_total") - 1))
-    usual_end = (F.col("e_total") - 1 >= least_support) & ((F.col("e_closes") - 1) >= least_terminality * (F.col("e_total") - 1))
+    usual_end = (F.col("e_total") - 1 >= least_support) & (F.col("e_closes") >= least_terminality * (F.col("e_total") - 1))
     own = F.when(F.col("state").isin(BY_DESIGN, POINT), F.lit(False)).when(
         F.col("state") == NAMES, F.coalesce(ordinary_start, F.lit(False))
-    ).otherwise(~(F.coalesce(usual_end, F.lit(False)) & (F.col("last_words") <= 3)))
+    ).otherwise(~F.coalesce(usual_end, F.lit(False)))
     decided = F.when(F.col("early"), F.lit(True)).when(F.col("boundary"), F.lit(False)).otherwise(own)
     judged = scored.select(
         "doc_id",
