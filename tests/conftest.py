@@ -8,7 +8,7 @@ import pytest
 
 sys.path.insert(0, str(Path(__file__).resolve().parent.parent))
 
-from veredas.session import build_session  # noqa: E402
+from veredas.session import build_session, sweep  # noqa: E402
 
 
 @pytest.fixture(scope="session")
@@ -17,6 +17,7 @@ def spark():
     session = build_session("local[4]", 4)
     session.sparkContext.setLogLevel("ERROR")
     yield session
+    sweep(session)
     session.stop()
 
 

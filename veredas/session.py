@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import gc
 import tempfile
 import uuid
 
@@ -29,12 +28,18 @@ def load(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
 
 
 def shared_folder(spark: SparkSession) -> str:
-    """The folder all executors share, from ``spark.checkpoint.dir``; a temporary one only where that is unset."""
+    """The folder all executors share, from ``spark.checkpoint.dir``; a temporary one where that is unset and driver and executors are one process.
+
+    Raises on a cluster without that setting: a folder of one machine is none that executors share.
+    """
     folder = spark.conf.get("spark.checkpoint.dir", None)
     if not folder:
         known = spark.sparkContext.getCheckpointDir()
         if known:
             return known
+        master = spark.sparkContext.master
+        if not (master == "local" or master.startswith("local[")):
+            raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
         folder = tempfile.mkdtemp(prefix="veredas-")
         spark.sparkContext.setCheckpointDir(folder)
     return folder
@@ -42,7 +47,7 @@ def shared_folder(spark: SparkSession) -> str:
 
 def scratch(spark: SparkSession, name: str) -> str:
     """A fresh path below the shared folder."""
-    return f"{shared_folder(spark).rstrip('/')}/veredas/{name}-{uuid.uuid4().hex}"
+    return f"{shared_folder(spark).rstrip('/')}/veredas/{spark.sparkContext.applicationId}/{name}-{uuid.uuid4().hex}"
 
 
 def materialize(df: DataFrame, name: str) -> DataFrame:
@@ -62,7 +67,8 @@ def discard(df: DataFrame) -> None:
             folder.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(folder, True)
 
 
-def release(spark: SparkSession) -> None:
-    """Lets Spark delete the shuffle files of finished steps: it waits for the driver's garbage, which a small heap use never makes."""
-    gc.collect()
-    spark.sparkContext._jvm.System.gc()
+def sweep(spark: SparkSession) -> None:
+    """Delete the tables that this application wrote for its own use; call it when the results have been read or written."""
+    jvm = spark.sparkContext._jvm
+    folder = jvm.org.apache.hadoop.fs.Path(f"{shared_folder(spark).rstrip('/')}/veredas/{spark.sparkContext.applicationId}")
+    folder.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(folder, True)
