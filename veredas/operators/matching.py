@@ -2,11 +2,10 @@
 
 from __future__ import annotations
 
-import math
-
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from veredas.operators.set_join import overlap_holds, similar_sets
 from veredas.session import materialize
 
 
@@ -18,29 +17,18 @@ def jaccard_classes(rows: DataFrame, key: str, tokens: str) -> DataFrame:
 
 
 def jaccard_pairs(sets: DataFrame, key: str, threshold: float) -> DataFrame:
-    """(a, b), a < b: all pairs of different token sets with Jaccard of at least ``threshold``.
+    """(a, b), a < b: all pairs of different token sets with Jaccard of at least ``threshold``, which is 0.4 or more.
 
-    ``sets`` is (key, tokens), tokens distinct. Exact prefix filter: a pair shares one of each set's rarest size − ⌈threshold · size⌉ + 1
-    tokens, ordered by document frequency. Only those tokens are joined; pairs are verified on whole sets.
+    ``sets`` is (key, tokens), the key a unique whole number, tokens distinct texts. Candidates share two tokens of one segment (:mod:`set_join`),
+    so a token that is in most sets pairs nothing by itself; they are verified on the tokens themselves. Null or empty sets match nothing.
     """
-    sets = materialize(sets.select(F.col(key).alias("id"), "tokens"), "token-sets")
-    exploded = sets.select("id", F.size("tokens").alias("n"), F.explode("tokens").alias("token"))
-    frequency = exploded.groupBy("token").agg(F.count("*").alias("df"))
-    ranked = exploded.join(frequency, "token").groupBy("id", "n").agg(F.array_sort(F.collect_list(F.struct("df", "token"))).alias("o"))
-    prefix = F.col("n") - F.ceil(F.col("n") * threshold - 1e-9) + 1
-    keys = materialize(ranked.select("id", "n", F.explode(F.slice("o", F.lit(1), prefix.cast("int"))).alias("p")).select("id", "n", "p.token"), "prefixes")
-    a, b = keys.alias("a"), keys.alias("b")
-    pairs = (
-        a.join(b, (F.col("a.token") == F.col("b.token")) & (F.col("a.id") < F.col("b.id")))
-        .where((F.col("a.n") >= F.col("b.n") * threshold - 1e-9) & (F.col("b.n") >= F.col("a.n") * threshold - 1e-9))
-        .select(F.col("a.id").alias("a"), F.col("b.id").alias("b"))
-        .distinct()
-    )
-    x = sets.select(F.col("id").alias("a"), F.col("tokens").alias("x"))
-    y = sets.select(F.col("id").alias("b"), F.col("tokens").alias("y"))
-    shared = F.size(F.array_intersect("x", "y"))
-    close = shared * (1 + threshold) >= (F.size("x") + F.size("y")) * threshold - 1e-9
-    return pairs.join(x, "a").join(y, "b").where(close).select("a", "b")
+    sets = materialize(sets.select(F.col(key).cast("long").alias("id"), "tokens").where("size(tokens) > 0"), "token-sets")
+    hashed = sets.select("id", F.lit(0).alias("salt"), F.array_sort(F.array_distinct(F.transform("tokens", lambda t: F.xxhash64(t)))).alias("tokens"))
+    found = similar_sets(materialize(hashed, "token-hashes"), threshold, exact=False)
+    x = sets.select(F.col("id").alias("id_a"), F.col("tokens").alias("x"))
+    y = sets.select(F.col("id").alias("id_b"), F.col("tokens").alias("y"))
+    close = overlap_holds("x", "y", threshold)
+    return found.join(x, "id_a").join(y, "id_b").where(close).select(F.col("id_a").alias("a"), F.col("id_b").alias("b"))
 
 
 def shared_tag_edges(rows: DataFrame, key: str, group: str, tag: str) -> DataFrame:
