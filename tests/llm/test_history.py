@@ -10,7 +10,8 @@ from pyspark.sql import functions as F
 from veredas.functions.text import fold_py, words_py
 from veredas.functions.url import canonical_url_py
 from veredas.llm.history import FingerprintStore, accept_delivery, keyed_batch, replay
-from veredas.llm.similarity import Order, word_set
+from veredas.llm.similarity import word_set
+from veredas.operators.set_join import Order
 from veredas.session import materialize, scratch
 
 RAW = "run_date string, pos long, source_id string, url string, title string, content string, tokens int, day int"

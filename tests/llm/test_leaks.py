@@ -46,7 +46,7 @@ def test_planted_passages(spark):
     d, i = frames(spark, docs, items)
     want = brute(docs, items)
     assert sorted(tuple(r) for r in find_leaks(d, i).collect()) == want
-    assert sorted(tuple(r) for r in find_leaks(d, i, windows_per_pass=100).collect()) == want
+    assert sorted(tuple(r) for r in find_leaks(d, i, windows_at_once=100, filter_bits=1 << 16).collect()) == want
     report = dict(tuple(r) for r in leak_report(find_leaks(d, i), i).collect())
     assert report[800] == 0 and sum(report.values()) == len(want)
 

@@ -15,7 +15,8 @@ from pyspark.sql import functions as F
 
 from veredas.functions.text import fold_py
 from veredas.functions.url import canonical_url
-from veredas.llm.similarity import (
+from veredas.llm.similarity import word_set
+from veredas.operators.set_join import (
     ASK,
     HOT,
     KEYS,
@@ -24,9 +25,9 @@ from veredas.llm.similarity import (
     SKETCH,
     WIDE,
     Order,
-    _columns,
-    _rows,
     hot_pairs,
+    key_columns,
+    key_frame,
     key_rows,
     may_match,
     meet,
@@ -34,7 +35,6 @@ from veredas.llm.similarity import (
     smaller_has_key,
     wide_sketches,
     word_order,
-    word_set,
 )
 from veredas.session import discard, materialize, scratch
 
@@ -77,7 +77,7 @@ def screened(threshold: float) -> Callable[[Iterator[pd.DataFrame]], Iterator[pd
     def asked(batches: Iterator[pd.DataFrame], out: list[pd.DataFrame]) -> Iterator[dict[str, np.ndarray]]:
         part, bits = -1, None
         for batch in batches:
-            slots, x = batch["slot"].to_numpy(), _columns(batch)
+            slots, x = batch["slot"].to_numpy(), key_columns(batch)
             hit = np.zeros(len(batch), dtype=bool)
             bounds = [0, *(np.flatnonzero(np.diff(slots)) + 1).tolist(), len(slots)]
             for start, end in zip(bounds, bounds[1:]):
@@ -95,7 +95,7 @@ def screened(threshold: float) -> Callable[[Iterator[pd.DataFrame]], Iterator[pd
                         inside &= (bits[row >> 3] >> (row & 7).astype(np.uint8) & 1).astype(bool)
                     hit[start:end] = inside
             if hit.any():
-                out.append(_rows(ASK, x, hit))
+                out.append(key_frame(ASK, x, hit))
             own = (slots & 1).astype(bool)
             yield {c: v[own] for c, v in x.items()}
 

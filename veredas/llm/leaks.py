@@ -11,10 +11,11 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from veredas.functions.text import words_py
+from veredas.session import materialize
 
 SPAN, WIDTH = 12, 5
-#: Item windows that one pass over the corpus looks for; more items take more passes.
-WINDOWS_PER_PASS = 500_000
+#: Item windows whose MinHashes are broadcast as they are; more are broadcast as a filter of so many bits, whatever their number.
+WINDOWS_AT_ONCE, FILTER_BITS = 500_000, 1 << 28
 STEP = np.uint64(0x9E3779B97F4A7C15)
 
 
@@ -84,8 +85,8 @@ def item_windows(span: int, width: int) -> Callable[[Iterator[pd.DataFrame]], It
 FOUND = "doc_id long, size int, passage string"
 
 
-def corpus_hits(index: dict[int, np.ndarray], width: int) -> Callable[[Iterator[pd.DataFrame]], Iterator[pd.DataFrame]]:
-    """mapInPandas body: the windows of each document whose MinHash is that of a window of some item of the same size."""
+def corpus_hits(index: dict[int, Callable[[np.ndarray], np.ndarray]], width: int) -> Callable[[Iterator[pd.DataFrame]], Iterator[pd.DataFrame]]:
+    """mapInPandas body: the windows of each document whose MinHash may be that of a window of some item of the same size."""
 
     def emit(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         hashes = WordHashes()
@@ -94,18 +95,41 @@ def corpus_hits(index: dict[int, np.ndarray], width: int) -> Callable[[Iterator[
             for doc, text in zip(batch["doc_id"], batch["text"]):
                 words = words_py(text)
                 own = hashes.of(words)
-                for size, wanted in index.items():
+                for size, known in index.items():
                     minima = window_minima(own, size, min(width, size))
-                    if not len(minima):
-                        continue
-                    at = np.minimum(np.searchsorted(wanted, minima), len(wanted) - 1)
-                    for i in np.flatnonzero(wanted[at] == minima).tolist():
+                    for i in np.flatnonzero(known(minima)).tolist() if len(minima) else ():
                         out.append((doc, size, " ".join(words[i : i + size])))
             yield pd.DataFrame(out, columns=["doc_id", "size", "passage"]).drop_duplicates()
 
     return emit
 
 
+def among(wanted: np.ndarray) -> Callable[[np.ndarray], np.ndarray]:
+    """Whether numbers are in a sorted array."""
+    return lambda minima: wanted[np.minimum(np.searchsorted(wanted, minima), len(wanted) - 1)] == minima
+
+
+def in_filter(packed: np.ndarray, size: int) -> Callable[[np.ndarray], np.ndarray]:
+    """Whether numbers may be among those that a filter was made of: a number and its size set one bit."""
+    bits = np.uint64(8 * len(packed) - 1)
+
+    def look(minima: np.ndarray) -> np.ndarray:
+        at = (minima ^ np.uint64(size << 20)) & bits
+        return (packed[(at >> np.uint64(3)).astype(np.int64)] >> (at & np.uint64(7)).astype(np.uint8)) & 1
+
+    return look
+
+
+def filter_of(minima: DataFrame, bits: int) -> np.ndarray:
+    """The filter over (size, minimum), made in parts of 32,768 bits; ``bits`` / 8 bytes however many numbers there are."""
+    at = F.col("minimum").bitwiseXOR(F.shiftleft(F.col("size").cast("long"), 20)).bitwiseAND(F.lit(bits - 1))
+    parts = minima.groupBy(F.shiftright(at, 15).alias("part")).agg(F.bitmap_construct_agg(at.bitwiseAND(F.lit((1 << 15) - 1))).alias("bits"))
+    packed = np.zeros(max(bits // 8, 4096), dtype=np.uint8)
+    for part, held in parts.toLocalIterator():
+        packed[part * 4096 : (part + 1) * 4096] = np.frombuffer(held, dtype=np.uint8)
+    return packed
+
+
 def find_leaks(
     documents: DataFrame,
     items: DataFrame,
@@ -116,14 +140,15 @@ def find_leaks(
     item_text: str = "text",
     span: int = SPAN,
     width: int = WIDTH,
-    windows_per_pass: int = WINDOWS_PER_PASS,
+    windows_at_once: int = WINDOWS_AT_ONCE,
+    filter_bits: int = FILTER_BITS,
 ) -> DataFrame:
     """(doc_id, item_id): all pairs where the document's words hold ``span`` consecutive words of the item, or all its words if fewer.
 
     Items are partitioned by size; each window of an item (its whole text, if shorter) has a MinHash over its shingles of ``width``
     words, and so has each window of that size of a document: a leaked passage is a window with the same MinHash.
-    Hits are verified by comparing the words themselves. The items' MinHashes are broadcast in blocks of at most
-    ``windows_per_pass`` (8 bytes each), one pass over the corpus for each block, so any number of items can be searched.
+    Hits are verified by comparing the words themselves. The items' MinHashes are broadcast, or beyond ``windows_at_once`` of them a
+    filter of ``filter_bits`` bits (32 MB): so any number of items takes one pass over the corpus, and driver and executors hold no more.
 
     Null or empty texts and texts without words match nothing; rows with null ids are left out; repeated ids or rows give each
     pair once; empty tables give no rows; other columns are ignored.
@@ -133,21 +158,19 @@ def find_leaks(
         .where("item_id is not null and text is not null")
         .mapInPandas(item_windows(span, width), WINDOW)
     )
+    windows = materialize(windows, "item-windows")
     corpus = documents.select(F.col(doc_id).cast("long").alias("doc_id"), F.col(doc_text).cast("string").alias("text"))
     corpus = corpus.where("doc_id is not null and text is not null")
     minima = windows.select("size", "minimum").distinct()
     count = minima.count()
-    passes = -(-count // windows_per_pass)
-    hits = None
-    for k in range(passes):
-        block = minima.where(F.pmod(F.xxhash64("minimum"), F.lit(passes)) == k).toPandas()
-        index = {
-            int(size): np.sort(part["minimum"].to_numpy(dtype=np.int64).view(np.uint64)) for size, part in block.groupby("size")
-        }
-        own = corpus.mapInPandas(corpus_hits(index, width), FOUND)
-        hits = own if hits is None else hits.unionByName(own)
-    if hits is None:
-        return corpus.select("doc_id", F.lit(None).cast("long").alias("item_id")).where("false")
+    sizes = [r[0] for r in minima.select("size").distinct().collect()]  # span at most
+    if count <= windows_at_once:
+        block = minima.toPandas()
+        index = {int(size): among(np.sort(part["minimum"].to_numpy(dtype=np.int64).view(np.uint64))) for size, part in block.groupby("size")}
+    else:
+        packed = filter_of(minima, filter_bits)
+        index = {size: in_filter(packed, size) for size in sizes}
+    hits = corpus.mapInPandas(corpus_hits(index, width), FOUND)
     passages = windows.select("item_id", "size", "passage").distinct()
     return hits.join(passages, ["size", "passage"]).select("doc_id", "item_id").distinct()
 

@@ -1,12 +1,7 @@
-"""Exact set-similarity self-join of word sets: universe-partition pigeonhole with segment subsets."""
+"""Near duplicates among texts: word sets, classes of equal ones, and the similar pairs of different ones."""
 
 from __future__ import annotations
 
-import math
-from bisect import bisect_right
-from collections.abc import Callable, Iterator
-from dataclasses import dataclass
-
 import numpy as np
 import pandas as pd
 from pyspark.sql import Column, DataFrame
@@ -14,21 +9,9 @@ from pyspark.sql import functions as F
 
 from veredas.functions.text import words_py
 from veredas.llm.leaks import WordHashes
+from veredas.operators.set_join import similar_sets
 from veredas.session import discard, materialize
 
-#: Size bands of the smaller set of a pair: (least size, number of segments its words are hashed into). They grow eightfold,
-#: so that most sets have all their partners in one band, and a set has keys in proportion to its size.
-BANDS = [(1, 0), (3, 1), (8, 2), *((24 << 3 * k, 8 << 3 * k) for k in range(12))]
-EDGES = [least for least, _ in BANDS]
-#: A word is frequent if it is in at least this share of the sets: there are at most mean size / share of them.
-FREQUENT_SHARE = 0.001
-#: Rows of one key that are paired where they meet; those of longer runs go through a join that is split by its rows.
-RUN = 4_096
-#: Pairs that are looked at together.
-CHUNK = 1 << 20
-#: Sets whose keys are made together.
-SETS_AT_ONCE = 2_000
-
 
 def _word_hashes(texts: pd.Series) -> pd.Series:
     hashes = WordHashes()
@@ -42,310 +25,6 @@ def word_set(*texts: Column) -> Column:
     return F.pandas_udf(_word_hashes, "array<long>").asNondeterministic()(joined)
 
 
-def least_overlap(a: int | np.ndarray, b: int | np.ndarray, threshold: float) -> np.ndarray:
-    """Shared words that two sets of these sizes need."""
-    return np.ceil(threshold / (1 + threshold) * (np.asarray(a) + np.asarray(b)) - 1e-9).astype(np.int64)
-
-
-def band_of(size: int) -> int:
-    return bisect_right(EDGES, size) - 1
-
-
-@dataclass(frozen=True)
-class Order:
-    """A total order of words, rare ones first; ``ranks`` are those of the frequent ones. Any order gives the same pairs."""
-
-    hashes: np.ndarray
-    ranks: np.ndarray
-
-    def rank(self, tokens: np.ndarray) -> np.ndarray:
-        rank = np.zeros(len(tokens), dtype=np.int64)
-        if len(self.hashes):
-            at = np.minimum(np.searchsorted(self.hashes, tokens), len(self.hashes) - 1)
-            hit = self.hashes[at] == tokens
-            rank[hit] = self.ranks[at[hit]]
-        return rank
-
-
-def word_order(sets: DataFrame, count: int, share: float = FREQUENT_SHARE) -> Order:
-    """Counts all words of all sets; brings the frequent ones, of which there can be mean size / ``share``, to the driver."""
-    least = max(3, math.ceil(count * share))
-    frequent = (
-        sets.select(F.explode("tokens").alias("w")).groupBy("w").agg(F.count("*").alias("n")).where(F.col("n") >= least)
-    ).toPandas()
-    frequent = frequent.sort_values("w")
-    ranks = frequent["n"].rank(method="min").to_numpy(dtype=np.int64)
-    return Order(frequent["w"].to_numpy(dtype=np.int64), ranks)
-
-
-def together(groups: np.ndarray) -> Iterator[tuple[np.ndarray, np.ndarray]]:
-    """All (i, j), i < j, of equal ``groups``, of which equal ones stand together; in arrays by their distance."""
-    i, d = np.arange(len(groups) - 1), 1
-    while len(i := i[groups[i] == groups[i + d]]):
-        yield i, i + d
-        d += 1
-        i = i[i + d < len(groups)]
-
-
-KEYS = "key long, id long, size int, small boolean, low long, high long"
-
-
-def signatures(flat: np.ndarray, sizes: np.ndarray, salts: np.ndarray, order: Order, threshold: float) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """(set's index, key, small) of the keys of many sets, whose words stand one after the other in ``flat``.
-
-    With n segments, any n + 1 shared words have two in one segment. A pair that shares ``least_overlap`` words has its first
-    n + 1 shared words, in the global order, among each set's first size − least_overlap + n + 1: so the two sets
-    share a segment subset of two of those words (without segments: one word). A set has the keys that it needs as the larger
-    one of a pair, in the band of each possible smaller one; ``small`` marks those that it needs as the smaller one.
-    """
-    if threshold < 0.4:
-        raise ValueError("a threshold below 0.4 does not guarantee a common key")
-    owner = np.repeat(np.arange(len(sizes)), sizes)
-    flat = flat[np.lexsort((flat, order.rank(flat), owner))]
-    at = np.arange(len(flat)) - np.repeat(np.cumsum(sizes) - sizes, sizes)
-    least = np.maximum(1, np.ceil(threshold * sizes - 1e-9).astype(np.int64))
-    found = []
-    for band in range(band_of(int(least.min(initial=1))), band_of(int(sizes.max(initial=1))) + 1):
-        low, segments = BANDS[band]
-        high = EDGES[band + 1] if band + 1 < len(EDGES) else 1 << 62
-        used = (sizes >= low) & (least < high)
-        prefix = np.where(used, sizes - least_overlap(sizes, np.maximum(low, least), threshold) + segments + 1, 0)
-        own = np.where((sizes >= low) & (sizes < high), sizes - least_overlap(sizes, sizes, threshold) + segments + 1, 0)
-        chosen = np.flatnonzero(at < prefix[owner])
-        if not len(chosen):
-            continue
-        who, place, word = owner[chosen], at[chosen], flat[chosen].view(np.uint64)
-        base = (salts[who].astype(np.uint64) * np.uint64(31) + np.uint64(band + 1)) * np.uint64(0x9E3779B97F4A7C15)
-        if not segments:
-            found.append((who, base ^ word * np.uint64(0xBF58476D1CE4E5B9), place < own[who]))
-            continue
-        cell = who * segments + ((word >> np.uint64(7)) % np.uint64(segments)).astype(np.int64)
-        by = np.argsort(cell, kind="stable")
-        who, place, word, base, cell = who[by], place[by], word[by], base[by], cell[by]
-        for i, j in together(cell):
-            less, more = np.minimum(word[i], word[j]), np.maximum(word[i], word[j])
-            found.append((who[i], less * np.uint64(0xBF58476D1CE4E5B9) + more * np.uint64(0x94D049BB133111EB) + base[i], np.maximum(place[i], place[j]) < own[who[i]]))
-    if not found:
-        return np.empty(0, dtype=np.int64), np.empty(0, dtype=np.int64), np.empty(0, dtype=bool)
-    who, key, small = (np.concatenate(x) for x in zip(*found))
-    key ^= key >> np.uint64(29)
-    return who, (key & np.uint64((1 << 63) - 1)).astype(np.int64), small
-
-
-def parities(flat: np.ndarray, sizes: np.ndarray, bits: int, shift: int) -> np.ndarray:
-    """For each set ``bits`` // 64 numbers of 64 bits, of which each word flips one bit: as many differ between two sets as words differ, at most."""
-    owner = np.repeat(np.arange(len(sizes)), sizes)
-    at = owner * bits + ((flat >> shift) & (bits - 1))
-    odd = (np.bincount(at, minlength=len(sizes) * bits) & 1).astype(np.uint8).reshape(len(sizes), bits)
-    return np.packbits(odd, axis=1).view(np.int64).reshape(len(sizes), bits // 64)
-
-
-def _parts(batches: Iterator[pd.DataFrame]) -> Iterator[tuple[pd.DataFrame, np.ndarray, np.ndarray]]:
-    for batch in batches:
-        for start in range(0, len(batch), SETS_AT_ONCE):
-            part = batch.iloc[start : start + SETS_AT_ONCE]
-            sizes = np.fromiter(map(len, part["tokens"]), dtype=np.int64, count=len(part))
-            yield part, np.concatenate([np.empty(0, dtype=np.int64), *part["tokens"]]).astype(np.int64), sizes
-
-
-def key_rows(order: Order, threshold: float) -> Callable[[Iterator[pd.DataFrame]], Iterator[pd.DataFrame]]:
-    """mapInPandas body: one row per key of each set (id, salt, tokens)."""
-
-    def emit(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for part, flat, sizes in _parts(batches):
-            who, key, small = signatures(flat, sizes, part["salt"].to_numpy(dtype=np.int64), order, threshold)
-            sketch = parities(flat, sizes, 128, 0)
-            yield pd.DataFrame(
-                {
-                    "key": key,
-                    "id": part["id"].to_numpy(dtype=np.int64)[who],
-                    "size": sizes.astype(np.int32)[who],
-                    "small": small,
-                    "low": sketch[who, 0],
-                    "high": sketch[who, 1],
-                }
-            )
-
-    return emit
-
-
-WIDE = 4
-SKETCH = "id long, size int, " + ", ".join(f"w{i} long" for i in range(WIDE))
-
-
-def wide_sketches(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-    """mapInPandas body: size and a wide parity of each set (id, tokens)."""
-    for part, flat, sizes in _parts(batches):
-        wide = parities(flat, sizes, 64 * WIDE, 7)
-        yield pd.DataFrame({"id": part["id"].to_numpy(dtype=np.int64), "size": sizes.astype(np.int32)} | {f"w{i}": wide[:, i] for i in range(WIDE)})
-
-
-PAIR, HOT, ASK = 0, 1, 2
-MET = f"what byte, other long, {KEYS}"
-
-
-def _rows(what: int, x: dict[str, np.ndarray], keep: np.ndarray | slice) -> pd.DataFrame:
-    return pd.DataFrame({"what": np.int8(what), "other": np.int64(0)} | {c: x[c][keep] for c in ("key", "id", "size", "small", "low", "high")})
-
-
-def _close(x: dict[str, np.ndarray], i: np.ndarray, j: np.ndarray, threshold: float) -> np.ndarray:
-    """Whether the pairs of key rows may be similar: the smaller one has the key as such, and neither sizes nor parities rule it out."""
-    a, b = x["size"][i], x["size"][j]
-    small = np.where(a < b, x["small"][i], np.where(a > b, x["small"][j], x["small"][i] & x["small"][j]))
-    keep = np.flatnonzero(small & (np.minimum(a, b) >= np.maximum(a, b) * threshold - 1e-9) & (x["id"][i] != x["id"][j]))
-    i, j = i[keep], j[keep]
-    # The count of a negative number's bits is that of its absolute value.
-    differ = sum(np.bitwise_count((x[c][i] ^ x[c][j]).view(np.uint64)).astype(np.int64) for c in ("low", "high"))
-    return keep[differ <= (a[keep] + b[keep]) * ((1 - threshold) / (1 + threshold)) + 1e-9]
-
-
-def _pairs(x: dict[str, np.ndarray], threshold: float) -> pd.DataFrame:
-    """The distinct (id, other), id < other, of rows that share a key and may be similar; rows of a key stand together."""
-    less, more, waiting = [], [], []
-    size = 0
-
-    def look() -> None:
-        i, j = (np.concatenate(y) for y in zip(*waiting))
-        keep = _close(x, i, j, threshold)
-        a, b = x["id"][i[keep]], x["id"][j[keep]]
-        less.append(np.minimum(a, b))
-        more.append(np.maximum(a, b))
-
-    for i, j in together(x["key"]):
-        waiting.append((i, j))
-        size += len(i)
-        if size >= CHUNK:
-            look()
-            waiting, size = [], 0
-    if waiting:
-        look()
-    if not less:
-        return pd.DataFrame()
-    return pd.DataFrame({"id": np.concatenate(less), "other": np.concatenate(more)}).drop_duplicates()
-
-
-def meet(batches: Iterator[dict[str, np.ndarray]], threshold: float) -> Iterator[pd.DataFrame]:
-    """Pairs of the key rows that share a key, from batches in which rows of a key stand together.
-
-    A run of more than ``RUN`` rows is handed on as it is (``HOT``), as the whole run is never held.
-    """
-    held: dict[str, np.ndarray] | None = None
-    hot: int | None = None
-    for x in batches:
-        if held is not None and len(held["key"]):
-            x = {c: np.concatenate([held[c], x[c]]) for c in x}
-        key = x["key"]
-        if not len(key):
-            continue
-        if hot is not None:
-            end = int(np.argmax(key != hot)) if (key != hot).any() else len(key)
-            if end:
-                yield _rows(HOT, x, slice(0, end))
-                x = {c: v[end:] for c, v in x.items()}
-                key = x["key"]
-            if not len(key):
-                held = None
-                continue
-            hot = None
-        starts = np.flatnonzero(np.concatenate([[True], key[1:] != key[:-1]]))
-        lengths = np.diff(np.append(starts, len(key)))
-        long = np.repeat(lengths > RUN, lengths)
-        if long.any():
-            yield _rows(HOT, x, long)
-            if long[-1]:
-                hot = int(key[-1])
-        whole = ~long
-        if not long[-1]:
-            whole[starts[-1] :] = False
-            held = {c: v[starts[-1] :] for c, v in x.items()}
-        else:
-            held = None
-        yield _found({c: v[whole] for c, v in x.items()}, threshold)
-    if held is not None:
-        yield _found(held, threshold)
-
-
-def _found(x: dict[str, np.ndarray], threshold: float) -> pd.DataFrame:
-    pairs = _pairs(x, threshold) if len(x["key"]) > 1 else pd.DataFrame()
-    n = len(pairs)
-    blank = {"key": np.zeros(n, dtype=np.int64), "size": np.zeros(n, dtype=np.int32), "small": np.zeros(n, dtype=bool), "low": np.zeros(n, dtype=np.int64), "high": np.zeros(n, dtype=np.int64)}
-    own = {"what": np.full(n, PAIR, dtype=np.int8), "other": pairs["other"] if n else np.empty(0, dtype=np.int64)}
-    return pd.DataFrame({**own, "key": blank["key"], "id": pairs["id"] if n else np.empty(0, dtype=np.int64), **{c: blank[c] for c in ("size", "small", "low", "high")}})
-
-
-def _columns(batch: pd.DataFrame) -> dict[str, np.ndarray]:
-    return {c: batch[c].to_numpy() for c in ("key", "id", "size", "small", "low", "high")}
-
-
-def may_match(a: str, b: str, threshold: float, sketch: tuple[str, ...] = ("low", "high")) -> Column:
-    """Bound on the sizes and on the words that differ, from the rows ``a`` and ``b``."""
-    one, two = F.col(f"{a}.size"), F.col(f"{b}.size")
-    differ = sum((F.bit_count(F.col(f"{a}.{c}").bitwiseXOR(F.col(f"{b}.{c}"))) for c in sketch), F.lit(0))
-    return (F.least(one, two) >= F.greatest(one, two) * threshold - 1e-9) & (differ <= (one + two) * ((1 - threshold) / (1 + threshold)) + 1e-9)
-
-
-def smaller_has_key(a: str, b: str) -> Column:
-    """Whether two key rows of one key stand for a pair: the smaller set has the key as the smaller one, of equal sets both."""
-    one, two = F.col(f"{a}.size"), F.col(f"{b}.size")
-    return (F.col(f"{a}.small") | (one > two)) & (F.col(f"{b}.small") | (two > one))
-
-
-def overlap_holds(a: str, b: str, threshold: float) -> Column:
-    """Exact test on two token arrays."""
-    shared = F.size(F.array_intersect(a, b))
-    return shared * (1 + threshold) >= (F.size(a) + F.size(b)) * threshold - 1e-9
-
-
-def hot_pairs(hot: DataFrame, threshold: float) -> DataFrame:
-    """(id, other), id < other, of the rows of the keys with long runs, by a join that adaptive execution splits."""
-    one, two = hot.alias("a"), hot.hint("merge").alias("b")
-    met = one.join(two, F.col("a.key") == F.col("b.key")).where("a.id < b.id").where(smaller_has_key("a", "b") & may_match("a", "b", threshold))
-    return met.select(F.col("a.id").alias("id"), F.col("b.id").alias("other"))
-
-
-def candidates(keys: DataFrame, threshold: float) -> DataFrame:
-    """(id, other), id < other: the pairs of sets that share a key and that neither sizes nor parities rule out.
-
-    Key rows go through one exchange, whichever role they have, and are paired where they meet, in order of the key.
-    """
-
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        return meet(map(_columns, batches), threshold)
-
-    met = materialize(keys.repartition("key").sortWithinPartitions("key").mapInPandas(run, MET), "met")
-    pairs = met.where(F.col("what") == PAIR).select("id", "other")
-    return pairs.unionByName(hot_pairs(met.where(F.col("what") == HOT), threshold)).distinct()
-
-
-def verified(pairs: DataFrame, sets: DataFrame, sketches: DataFrame, threshold: float) -> DataFrame:
-    """(id_a, id_b) of the pairs (id, other) that are similar enough: a wide parity first, then the word sets themselves."""
-    mine, theirs = sketches.alias("x"), sketches.alias("y")
-    wide = tuple(f"w{i}" for i in range(WIDE))
-    near = (
-        pairs.alias("p").join(mine, F.col("p.id") == F.col("x.id"))
-        .join(theirs, F.col("p.other") == F.col("y.id"))
-        .where(may_match("x", "y", threshold, wide))
-        .select(F.col("p.id").alias("id_a"), F.col("p.other").alias("id_b"))
-    )
-    a = sets.select(F.col("id").alias("id_a"), F.col("tokens").alias("tokens_a"))
-    b = sets.select(F.col("id").alias("id_b"), F.col("tokens").alias("tokens_b"))
-    return near.join(a, "id_a").join(b, "id_b").where(overlap_holds("tokens_a", "tokens_b", threshold)).select("id_a", "id_b")
-
-
-def similar_sets(sets: DataFrame, threshold: float, order: Order | None = None) -> DataFrame:
-    """(id_a, id_b), id_a < id_b: all pairs of distinct sets of equal salt with similarity of at least ``threshold``.
-
-    ``sets`` is a written table (id, salt, tokens) of different non-empty sets. Candidates meet by key, so a pair is
-    compared only if it shares a segment subset; a 128-bit parity sketch in the key rows bounds the difference before
-    anything else is shuffled, a wider one before the sets are, and the survivors are verified on their whole sets. No key is
-    collected: the rows of a hot one are a join that adaptive execution splits.
-    """
-    order = order or word_order(sets, sets.count())
-    keys = sets.select("id", "salt", "tokens").mapInPandas(key_rows(order, threshold), KEYS)
-    sketches = materialize(sets.select("id", "tokens").mapInPandas(wide_sketches, SKETCH), "sketches")
-    return verified(candidates(keys, threshold), sets, sketches, threshold)
-
-
 def near_duplicates(
     rows: DataFrame, *, pos: str, texts: list[str | Column], kind: Column | None = None, threshold: float = 0.8
 ) -> tuple[DataFrame, DataFrame]:
