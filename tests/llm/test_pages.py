@@ -1,6 +1,6 @@
 from __future__ import annotations
 
-from veredas.llm.pages import extract_main_content, main_lines, parse, visible_lines
+from veredas.llm.pages import main_content_lines, extract_main_content, main_lines, parse, visible_lines
 
 PAGE = """<!DOCTYPE html>
 <head><title></title></head>
@@ -67,3 +67,15 @@ def test_operator_on_nulls_repeats_and_extra_columns(spark):
     got = sorted(((r.pos, list(r.line_numbers), r.main_text) for r in extract_main_content(rows).collect()), key=str)
     assert got == sorted([(1, [1, 3], "uno\ndos")] * 2 + [(2, [], ""), (3, [], ""), (None, [1], "x")], key=str)
     assert extract_main_content(rows.limit(0)).count() == 0
+
+
+def test_what_a_source_repeats_goes_without_any_known_phrase(spark):
+    rows = []
+    for i in range(40):
+        body = f"Nota sobre el tema {'abcdefghij'[i % 10]}{'klmn'[i // 10]}\nEl puente {'xyzw'[i % 4]}{'abcdefghij'[i % 10]} cede otra vez\nMire esto: otra cosa {'qrst'[i % 4] * 3}{'abcdefghij'[i // 4]}\nTodos los textos son de Diario {'Uno' if i % 2 else 'Dos'}"
+        rows.append((i, f"s{i % 2}", f"i{i}", body, None, 1))
+    rows += [(90, None, "x", "Todos los textos son nuestros", None, 1), (91, "s0", None, None, None, 1), (92, "s0", "y", "", None, 1), (0, "s0", "i0", rows[0][3], None, 1)]
+    df = spark.createDataFrame(rows, "pos long, source_id string, id string, raw_text string, title string, line_no int")
+    got = sorted((r.pos, r.line_no) for r in main_content_lines(df, phrases=False).collect())
+    assert got == sorted([(r[0], n) for r in rows if r[0] < 40 for n in (1, 2)])
+    assert main_content_lines(df.limit(0)).count() == 0

@@ -5,14 +5,16 @@ from __future__ import annotations
 import html
 import math
 import re
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from dataclasses import dataclass, field
 
 import pandas as pd
-from pyspark.sql import DataFrame
+import xxhash
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from veredas.functions.text import fold_py
+from veredas.session import materialize
 
 HIDDEN = re.compile(r"<!--.*?(?:-->|\Z)|<(script|style|noscript|template)\b[^<>]*>.*?(?:</\1\s*>|\Z)", re.S | re.I)
 TAG = re.compile(r"<(/?)([a-zA-Z][a-zA-Z0-9]*)((?:\s[^<>]*)?)/?>|<![^<>]*>|<\?[^<>]*>|<(/?)([a-zA-Z][a-zA-Z0-9]*)(?:\s[^<>]*)?\Z")
@@ -198,9 +200,23 @@ def plain_form(text: str) -> str:
     return SPACES.sub(" ", fold_py(text)).strip()
 
 
-def is_within(line: str, form: str) -> bool:
-    """Bylines, dates, share prompts and links to other items, which stand between the lines of an article."""
-    return bool(WITHIN_RE.match(form) or BYLINE.match(line.strip()))
+NEVER = re.compile(r"(?!)")
+
+
+@dataclass(frozen=True)
+class Phrases:
+    """Furniture by its wording: inside an article, at its end, and at the end of a feed entry."""
+
+    within: re.Pattern[str] = WITHIN_RE
+    after: re.Pattern[str] = AFTER_RE
+    feed: re.Pattern[str] = FEED_RE
+
+    def is_within(self, line: str, form: str) -> bool:
+        """Bylines, dates, share prompts and links to other items, which stand between the lines of an article."""
+        return bool(self.within.match(form) or BYLINE.match(line.strip()))
+
+
+KNOWN, NONE = Phrases(), Phrases(NEVER, NEVER, NEVER)
 
 
 #: Paragraphs of a short article may be thinner than the page's long notices.
@@ -231,20 +247,25 @@ def article_node(nodes: list[Node], headline: int | None) -> int:
     return max(path, key=sums.__getitem__)
 
 
-def above_header(pieces: list[list[tuple[int, str, bool]]], shown: list[str]) -> int | None:
+def above_header(pieces: list[list[tuple[int, str, bool]]], shown: list[str], phrases: Phrases) -> int | None:
     last = None
     for line, visible in zip(pieces, shown):
         if visible.strip():
-            if is_within(visible, plain_form(visible)):
+            if phrases.is_within(visible, plain_form(visible)):
                 return last
             last = line[0][0]
     return None
 
 
-def main_lines(text: str | None, title: str | None) -> list[tuple[int, str]]:
+def main_lines(text: str | None, title: str | None, phrases: Phrases = KNOWN) -> list[tuple[int, str]]:
     """(line number from 1, visible text) of the article's own lines."""
+    return lines_of(text, title, phrases)[1]
+
+
+def lines_of(text: str | None, title: str | None, phrases: Phrases) -> tuple[list[str], list[tuple[int, str]]]:
+    """The visible text of every line, and (line number from 1, visible text) of those of the article."""
     if not text:
-        return []
+        return [], []
     wanted = plain_form(title) if title else ""
     if PAGE.search(text):
         nodes, pieces = parse(text)
@@ -253,7 +274,7 @@ def main_lines(text: str | None, title: str | None) -> list[tuple[int, str]]:
         if headline is None and wanted:
             headline = next((p[0][0] for p, s in zip(pieces, shown) if p and plain_form(s) == wanted), None)
         if headline is None:  # the line above the first byline or date
-            headline = above_header(pieces, shown)
+            headline = above_header(pieces, shown, phrases)
         root = article_node(nodes, headline)
         inside = [False] * len(nodes)
         inside[root] = True
@@ -265,28 +286,130 @@ def main_lines(text: str | None, title: str | None) -> list[tuple[int, str]]:
                 continue
             linked = sum(len(s) for _, s, link in line if link)
             form = plain_form(visible)
-            if 2 * linked > len(visible) or is_within(visible, form) or AFTER_RE.match(form):
+            if 2 * linked > len(visible) or phrases.is_within(visible, form) or phrases.after.match(form):
                 continue
             found.append((number, visible))
-        return found
+        return shown, found
     shown = visible_lines(text)
     forms = [plain_form(s) for s in shown]
     start = next((i for i, f in enumerate(forms) if wanted and f == wanted), None)
-    if start is None and any(AFTER_RE.match(f) for f in forms):  # a page as plain text, without its title
-        header = next((i for i, (s, f) in enumerate(zip(shown, forms)) if is_within(s, f)), None)
+    if start is None and any(phrases.after.match(f) for f in forms):  # a page as plain text, without its title
+        header = next((i for i, (s, f) in enumerate(zip(shown, forms)) if phrases.is_within(s, f)), None)
         before = [i for i in range(header or 0) if forms[i]]
-        body = (i for i, f in enumerate(forms) if len(f.split()) > 4 and "|" not in f and not AFTER_RE.match(f))
+        body = (i for i, f in enumerate(forms) if len(f.split()) > 4 and "|" not in f and not phrases.after.match(f))
         start = before[-1] if before else next(body, None)
     last = len(shown)
     if start is not None:
-        last = next((i for i in range(start, len(shown)) if AFTER_RE.match(forms[i])), last)
-    return [
+        last = next((i for i in range(start, len(shown)) if phrases.after.match(forms[i])), last)
+    return shown, [
         (i + 1, shown[i])
         for i in range(start or 0, last)
-        if forms[i] and not is_within(shown[i], forms[i]) and not FEED_RE.match(forms[i])
+        if forms[i] and not phrases.is_within(shown[i], forms[i]) and not phrases.feed.match(forms[i])
     ]
 
 
+LINES = (
+    "pos long, source string, item long, numbers array<int>, texts array<string>, marks array<struct<key:long,opening:long,label:long>>, "
+    "every array<struct<key:long,opening:long,label:long>>"
+)
+#: Words by which the opening of a line is known, and letters that a label before a colon has at most.
+OPENING_WORDS, LABEL_LETTERS = 4, 40
+LETTER_RUNS = re.compile(r"[a-z]+")
+
+
+def _hash(text: str) -> int:
+    return xxhash.xxh64_intdigest(text.encode()) - (1 << 63)
+
+
+def marks_of(visible: str) -> tuple[int, int | None, int | None] | None:
+    """Hashes of a line's letters, of its first words and of the label before its colon; None without letters."""
+    form = fold_py(visible)
+    words = LETTER_RUNS.findall(form)
+    if not words:
+        return None
+    label, colon, rest = form.partition(":")
+    label = "".join(LETTER_RUNS.findall(label)) if colon and rest.strip() else ""
+    opening = " ".join(words[:OPENING_WORDS]) if len(words) >= OPENING_WORDS else ""
+    return _hash("".join(words)), _hash(opening) if opening else None, _hash(label) if 0 < len(label) <= LABEL_LETTERS else None
+
+
+def _lines(phrases: Phrases, labels: bool) -> Callable[[Iterator[pd.DataFrame]], Iterator[pd.DataFrame]]:
+    def emit(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        known: dict[str, tuple | None] = {}
+
+        def marks(line: str) -> tuple | None:
+            if line not in known:
+                if len(known) > 50_000:
+                    known.clear()
+                found = marks_of(line)
+                known[line] = found if labels or found is None else (*found[:2], None)
+            return known[line]
+
+        for batch in batches:
+            numbers, texts, own, every = [], [], [], []
+            for text, title in zip(batch["text"], batch["title"]):
+                shown, chosen = lines_of(text, title, phrases)
+                numbers.append([n for n, _ in chosen])
+                texts.append([v for _, v in chosen])
+                own.append([marks(v) or (None, None, None) for _, v in chosen])
+                every.append([*{marks(v) for v in shown} - {None}])
+            yield batch[["pos", "source", "item"]].assign(numbers=numbers, texts=texts, marks=own, every=every)
+
+    return emit
+
+
+def main_content_lines(
+    rows: DataFrame,
+    *,
+    pos: str = "pos",
+    source: str = "source_id",
+    item: str = "id",
+    text: str = "raw_text",
+    title: str = "title",
+    phrases: bool = True,
+    least_items: int = 10,
+    least_share: float = 0.1,
+    least_label_share: float = 0.02,
+) -> DataFrame:
+    """(pos, line_no, line): the article's own lines of each page, feed entry or plain text.
+
+    Each text by itself gives its lines as :func:`extract_main_content` does; then what a source repeats is taken out of them, as
+    no article's own line comes back in many items: lines whose letters come back in at least ``least_items`` items and ``least_share`` of the
+    source's, and lines that open with the words with which such a line of any source opens. Without ``phrases`` no
+    wording is known beforehand; lines with a label before a colon that comes back in ``least_label_share`` of the source's items go, too.
+
+    All counts are over all rows, first by item, so that no source is ever one group. Null or empty texts give no lines; rows with a null source or
+    item are not counted, and those with a null source lose lines by their opening alone; repeated rows count once and each have their lines; an empty
+    table gives none; other columns are ignored.
+    """
+    chosen = rows.select(
+        F.col(pos).cast("long").alias("pos"),
+        F.col(source).cast("string").alias("source"),
+        F.when(F.col(item).isNotNull(), F.xxhash64(F.col(item).cast("string"))).alias("item"),
+        F.col(text).cast("string").alias("text"),
+        F.col(title).cast("string").alias("title"),
+    )
+    kept = materialize(chosen.mapInPandas(_lines(KNOWN if phrases else NONE, not phrases), LINES), "content-lines")
+    counted = kept.where("source is not null and item is not null").select("source", "item", F.explode("every").alias("m"))
+    items = chosen.where("source is not null and item is not null").groupBy("source").agg(F.count_distinct("item").alias("items"))
+
+    def repeated(mark: str, share: float, *also: Column) -> DataFrame:
+        """(source, mark) of what comes back in enough items of the source."""
+        of_item = counted.select("source", "item", F.col(f"m.{mark}").alias(mark), "m.opening") if also else counted.select("source", "item", f"m.{mark}")
+        of_item = of_item.where(F.col(mark).isNotNull()).groupBy("source", "item", mark).agg(*(also or [F.lit(1).alias("one")]))
+        of_source = of_item.groupBy("source", mark).agg(F.count("*").alias("support"), *also)
+        return of_source.join(items, "source").where((F.col("support") >= least_items) & (F.col("support") >= F.col("items") * share))
+
+    lines = materialize(repeated("key", least_share, F.min("opening").alias("opening")).select("source", "key", "opening"), "repeated-lines")
+    found = kept.select("pos", "source", F.explode(F.arrays_zip("numbers", "texts", "marks")).alias("l"))
+    found = found.select("pos", "source", F.col("l.numbers").cast("long").alias("line_no"), F.col("l.texts").alias("line"), "l.marks.key", "l.marks.opening", "l.marks.label")
+    found = found.join(lines.select("source", "key"), ["source", "key"], "left_anti")
+    found = found.join(lines.select("opening").where("opening is not null").distinct(), "opening", "left_anti")
+    if not phrases:
+        found = found.join(repeated("label", least_label_share).select("source", "label"), ["source", "label"], "left_anti")
+    return found.select("pos", "line_no", "line")
+
+
 MAIN = "pos long, line_numbers array<long>, main_text string"
 
 

@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from veredas.llm.history import replay
 from veredas.llm.leaks import find_leaks
 from veredas.llm.packing import pack_texts
-from veredas.llm.pages import extract_main_content
+from veredas.llm.pages import main_content_lines
 from veredas.llm.repeated_lines import repeated_lines
 from veredas.llm.similarity import all_pairs, near_duplicates
 from veredas.llm.truncation import truncated_texts, truncation_rates
@@ -16,8 +16,7 @@ from veredas.session import load
 
 
 def p1_found(spark: SparkSession, sf_dir: str) -> DataFrame:
-    lines = extract_main_content(load(spark, sf_dir, "raw_items"))
-    return lines.select("pos", F.explode("line_numbers").alias("line_no"))
+    return main_content_lines(load(spark, sf_dir, "raw_items")).select("pos", "line_no")
 
 
 def p2_found(spark: SparkSession, sf_dir: str) -> DataFrame:
