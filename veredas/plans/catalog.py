@@ -454,11 +454,10 @@ from raw_items group by grouping sets ((source_type), (run_date), (source_id), (
 """)
 def grouped_counts(spark: SparkSession, sf: str) -> DataFrame:
     """Four groupings in one pass."""
-    load(spark, sf, "raw_items").createOrReplaceTempView("veredas_raw_items")
     return spark.sql("""
         select source_type, run_date, source_id, count(*) as items, count(distinct id) as ids,
           cast(grouping(source_type) as bigint) as no_type, cast(grouping(run_date) as bigint) as no_date, cast(grouping(source_id) as bigint) as no_source
-        from veredas_raw_items group by grouping sets ((source_type), (run_date), (source_id), ())""")
+        from {rows} group by grouping sets ((source_type), (run_date), (source_id), ())""", rows=load(spark, sf, "raw_items"))
 
 
 @query("""

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from urllib.parse import unquote
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.utils import AnalysisException
@@ -21,19 +23,22 @@ def read_artifact(spark: SparkSession, root: str, artifact: str) -> DataFrame |
         return None
 
 
-def run_dates(spark: SparkSession, root: str, artifact: str, window: int = 14) -> list[str]:
-    """The last ``window`` run dates, in order: from partition names alone."""
-    rows = read_artifact(spark, root, artifact)
-    if rows is None:
+def run_dates(spark: SparkSession, root: str, artifact: str, window: int | None = 14) -> list[str]:
+    """The last ``window`` run dates (all without one), in order: from the names of the partitions alone, no file is read."""
+    path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(f"{root}/{artifact}")
+    files = path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    if not files.exists(path):
         return []
-    return sorted(r[0] for r in rows.select("run_date").distinct().orderBy(F.desc("run_date")).limit(window).collect())
+    names = (found.getPath().getName() for found in files.listStatus(path) if found.isDirectory())
+    dates = sorted(unquote(n.removeprefix("run_date=")) for n in names if n.startswith("run_date="))
+    return dates if window is None else dates[-window:]
 
 
 def latest_before(spark: SparkSession, root: str, artifact: str, run_date: str) -> DataFrame | None:
     """The newest run before ``run_date``; only its partition is read."""
-    earlier = [d for d in run_dates(spark, root, artifact, 1_000_000) if d < run_date]
-    rows = read_artifact(spark, root, artifact)
-    return rows.where(F.col("run_date") == earlier[-1]) if rows is not None and earlier else None
+    earlier = [d for d in run_dates(spark, root, artifact, None) if d < run_date]
+    rows = read_artifact(spark, root, artifact) if earlier else None
+    return rows.where(F.col("run_date") == earlier[-1]) if rows is not None else None
 
 
 def write_json_lines(df: DataFrame, path: str) -> None:
