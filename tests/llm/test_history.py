@@ -31,6 +31,21 @@ def brute(raw, contents, threshold):
     return sorted(refused)
 
 
+def matches(raw, contents, threshold):
+    """(pos, the accepted rows it matches) of each refused row, for pos that rises with the batch."""
+    texts = {p: set(words_py(t)) for p, t in contents}
+    accepted, refused = [], []
+    for _, pos, source, url, title in sorted(raw, key=lambda r: r[1]):
+        name = re.sub(r"\s+", " ", fold_py(title or "")).strip()
+        own = (canonical_url_py(url), (source, name) if name and source is not None else None, texts.get(pos) or None)
+        hits = [p for p, (u, t, w) in accepted if own[0] and u == own[0] or own[1] and t == own[1] or own[2] and w and len(w & own[2]) >= threshold * len(w | own[2]) - 1e-9]
+        if hits:
+            refused.append((pos, hits))
+        else:
+            accepted.append((pos, own))
+    return refused
+
+
 def made(seed, n):
     random.seed(seed)
     raw, contents = [], []
@@ -91,3 +106,20 @@ def test_store_is_opened_from_its_folder_in_another_session(spark):
         found += [tuple(r) for r in out.collect()]
     assert sorted((a, p) for a, p, _ in found) == brute(raw, contents, 0.6)
     assert any(by_store for *_, by_store in found)
+
+
+@pytest.mark.parametrize(("together", "settled"), [(1, 300_000), (2, 300_000), (2, 0), (4, 30)])
+def test_pos_that_does_not_rise_with_the_batch(spark, monkeypatch, together, settled):
+    monkeypatch.setattr("veredas.llm.history.SETTLED_TOGETHER", settled)
+    raw, contents = made(7, 160)
+    # Copies of a table with shifted keys: each batch has rows of all ranges of pos.
+    days = [f"2025-01-{1 + i % 4:02d}" for i in range(len(raw))]
+    random.Random(1).shuffle(days)
+    raw = [(d, *r[1:]) for d, r in zip(days, raw)]
+    turn = {pos: i for i, (_, pos, *_) in enumerate(sorted(raw, key=lambda r: r[:2]))}
+    back = {i: pos for pos, i in turn.items()}
+    every = matches([(d, turn[p], *rest) for d, p, *rest in raw], [(turn[p], t) for p, t in contents], 0.6)
+    rows = spark.createDataFrame([(*r, "clash", 1, 2) for r in raw], RAW)
+    out = replay(rows, spark.createDataFrame(contents, "pos long, text string"), content_texts=["text"], threshold=0.6, together=together)
+    assert sorted(tuple(r) for r in out.select("accepted_pos", "pos").collect()) == sorted((min(back[h] for h in hits), back[i]) for i, hits in every)
+    assert any(min(back[h] for h in hits) > back[i] for i, hits in every) and any(min(hits) != min(hits, key=back.get) for _, hits in every)

@@ -276,7 +276,7 @@ def every_key() -> Column:
 
 
 def match_fingerprints(store: FingerprintStore, sets: DataFrame, count: int) -> tuple[DataFrame, int]:
-    """(id, other), and their number: the delivery's sets that are similar to one of the store (``other`` < ``id``) or to each other.
+    """(id, other, old), and their number: the delivery's sets that are similar to one of the store (``old``) or to each other.
 
     Key rows go through one exchange, by part of the filter; where they meet the part's bits they also meet each other. Those that the
     filter lets through look the fingerprints up; those, the sketches and the sets are read where they lie and not moved,
@@ -288,11 +288,12 @@ def match_fingerprints(store: FingerprintStore, sets: DataFrame, count: int) ->
     pairs = met.where(F.col("what") == PAIR).select("id", "other")
     if n["hot"]:
         pairs = pairs.unionByName(hot_pairs(met.where(F.col("what") == HOT), store.threshold))
+    pairs = pairs.withColumn("old", F.lit(False))
     if n["ask"]:
         asked = sided(met.where(F.col("what") == ASK).drop("what", "other"), n["ask"])
         looked = store.read("keys").alias("o").join(asked.alias("n"), F.col("o.key") == F.col("n.key"))
         looked = looked.where(smaller_has_key("o", "n") & may_match("o", "n", store.threshold))
-        pairs = pairs.unionByName(looked.select(F.col("n.id").alias("id"), F.col("o.id").alias("other")))
+        pairs = pairs.unionByName(looked.select(F.col("n.id").alias("id"), F.col("o.id").alias("other"), F.lit(True).alias("old")))
     pairs, n = counted(pairs.distinct(), "pairs")
     old = store.read("rows")
     known = sets.select("tokens", *_names(SKETCH))
@@ -301,10 +302,10 @@ def match_fingerprints(store: FingerprintStore, sets: DataFrame, count: int) ->
     near = near.join(sided(sets.select(*_names(SKETCH)), count).alias("x"), F.col("p.id") == F.col("x.id"))
     near = near.where(may_match("x", "y", store.threshold, tuple(f"w{i}" for i in range(WIDE))))
     links = (
-        near.select(F.col("p.id").alias("id"), F.col("p.other").alias("other"), F.col("y.tokens").alias("other_tokens"))
+        near.select(F.col("p.id").alias("id"), F.col("p.other").alias("other"), F.col("p.old").alias("old"), F.col("y.tokens").alias("other_tokens"))
         .join(sets.select("id", "tokens"), "id")
         .where(overlap_holds("tokens", "other_tokens", store.threshold))
-        .select("id", "other")
+        .select("id", "other", "old")
     )
     links, n = counted(links, "links")
     discard(met)
@@ -321,140 +322,153 @@ SETTLED_TOGETHER = 300_000
 
 
 def _settle(batch: pd.DataFrame) -> pd.DataFrame:
-    """Takes the open rows in order of pos: refused if one of their keys has been taken, else accepted with their own keys."""
-    taken = {k: t for k, t in zip(batch["key"], batch["taken"]) if t >= 0}
-    batch = batch.sort_values("pos", kind="stable")
-    keys, own, first = batch["key"].to_numpy(), batch["own"].to_numpy(), []
-    positions, starts = np.unique(batch["pos"].to_numpy(), return_index=True)
-    for pos, start, end in zip(positions.tolist(), starts, [*starts[1:], len(batch)]):
-        least = min(taken.get(k, pos) for k in keys[start:end])
-        first.append(least)
-        if least == pos:
+    """Takes the open rows in order of turn and pos: refused if one of their keys has been taken before, else accepted with their own keys."""
+    held = batch[batch["taken"].notna()]
+    taken = {k: (int(u), int(t)) for k, u, t in zip(held["key"], held["taken_turn"], held["taken"])}
+    batch = batch.sort_values(["turn", "pos"], kind="stable")
+    keys, own = batch["key"].to_numpy(), batch["own"].to_numpy()
+    turns, positions = batch["turn"].to_numpy(), batch["pos"].to_numpy()
+    starts = np.flatnonzero(np.concatenate([[True], (turns[1:] != turns[:-1]) | (positions[1:] != positions[:-1])])) if len(batch) else []
+    found = []
+    for start, end in zip(starts, [*starts[1:], len(batch)]):
+        here = (int(turns[start]), int(positions[start]))
+        least = min([p for u, p in (taken[k] for k in keys[start:end] if k in taken) if (u, p) < here], default=None)
+        found.append((*here, here[1] if least is None else least, least is not None))
+        if least is None:
             for k, mine in zip(keys[start:end], own[start:end]):
                 if mine:
-                    taken.setdefault(k, pos)
-    return pd.DataFrame({"pos": positions, "accepted_pos": np.asarray(first, dtype=np.int64)})
+                    taken.setdefault(k, here)
+    return pd.DataFrame(found, columns=["turn", "pos", "accepted_pos", "refused"])
 
 
 def settled(waiting: DataFrame) -> DataFrame:
-    """(pos, accepted_pos) of the rows of (pos, key, own, taken), in one task; accepted ones have their own pos."""
-    return waiting.withColumn("all", F.lit(1)).groupBy("all").applyInPandas(_settle, "pos long, accepted_pos long")
+    """(turn, pos, accepted_pos, refused) of the rows of (at, key, own, taken), in one task; accepted ones have their own pos."""
+    flat = waiting.select("at.turn", "at.pos", "key", "own", F.col("taken.turn").alias("taken_turn"), F.col("taken.pos").alias("taken"))
+    return flat.withColumn("all", F.lit(1)).groupBy("all").applyInPandas(_settle, "turn int, pos long, accepted_pos long, refused boolean")
 
 
-ROW, LINK, HIT = 0, 1, 2
+ROW, LINK, HIT, NEAR = 0, 1, 2, 3
 REFUSED = "accepted_pos long, pos long, by_store boolean"
 
 
 def _settle_delivery(batch: pd.DataFrame) -> pd.DataFrame:
-    """A small delivery in one task: its rows, the links of its word sets (pos, other) and its rows' exact matches in the store."""
+    """A small delivery in one task: its rows, the links of its word sets (pos, other) to each other and into the store, and its rows' exact matches there."""
     by = dict(list(batch.groupby("what")))
-    rows, links, hits = (by.get(k, batch.iloc[:0]) for k in (ROW, LINK, HIT))
-    rows = rows.sort_values("pos", kind="stable")
+    rows, links, hits, olds = (by.get(k, batch.iloc[:0]) for k in (ROW, LINK, HIT, NEAR))
+    rows = rows.sort_values(["turn", "pos"], kind="stable")
     content_of = dict(zip(rows["pos"], rows["content"]))
-    in_store = dict(zip(hits["pos"], hits["other"]))
+    in_store = dict(zip(hits["pos"].tolist(), hits["other"].tolist()))
     near_store: dict[str, int] = {}
     near: dict[str, list[str]] = {}
+    for pos, other in zip(olds["pos"].tolist(), olds["other"].tolist()):
+        own = content_of[pos]
+        near_store[own] = min(other, near_store.get(own, other))
     for pos, other in zip(links["pos"].tolist(), links["other"].tolist()):
         own = content_of[pos]
-        if other < pos:
-            near_store[own] = min(other, near_store.get(own, other))
-        else:
-            near.setdefault(own, []).append(content_of[other])
-            near.setdefault(content_of[other], []).append(own)
+        near.setdefault(own, []).append(content_of[other])
+        near.setdefault(content_of[other], []).append(own)
     taken: dict[str, int] = {}
     found = []
     for pos, exact, content in zip(rows["pos"].tolist(), rows["exact"], rows["content"]):
         keys = [*exact] if content is None else [*exact, content]
-        old = min(in_store.get(pos, pos), near_store.get(content, pos))
-        least = old if old < pos else min([pos, *(taken[k] for k in (*keys, *near.get(content, ())) if k in taken)])
-        if least < pos:
-            found.append((least, pos, old < pos))
+        old = [x for x in (in_store.get(pos), near_store.get(content)) if x is not None]
+        own = [taken[k] for k in (*keys, *near.get(content, ())) if k in taken]
+        if old or own:
+            found.append((min(old + own), pos, bool(old)))
         else:
             taken |= {k: pos for k in keys if k not in taken}
     return pd.DataFrame(found, columns=["accepted_pos", "pos", "by_store"])
 
 
 def refused_rows(store: FingerprintStore, names: DataFrame, sets: DataFrame, links: DataFrame, count: int, linked: int) -> DataFrame:
-    """(accepted_pos, pos, by_store) of a delivery's refused rows (pos, exact, content)."""
+    """(accepted_pos, pos, by_store) of a delivery's refused rows (turn, pos, exact, content)."""
     exact = match_exact(store, names, count) if store.state["tables"]["rows"] else None
     if count + linked <= SETTLED_TOGETHER:
-        blank = {"other": F.lit(0).cast("long"), "exact": F.lit(None).cast("array<string>"), "content": F.lit(None).cast("string")}
-        every = names.select(F.lit(ROW).alias("what"), "pos", blank["other"].alias("other"), "exact", "content")
-        pairs = [links.select(F.lit(LINK).alias("what"), F.col("id").alias("pos"), "other")]
+        blank = {"turn": F.lit(0), "other": F.lit(0).cast("long"), "exact": F.lit(None).cast("array<string>"), "content": F.lit(None).cast("string")}
+        every = names.select(F.lit(ROW).alias("what"), "turn", "pos", blank["other"].alias("other"), "exact", "content")
+        pairs = [links.select(F.when(F.col("old"), NEAR).otherwise(LINK).alias("what"), F.col("id").alias("pos"), "other")]
         if exact is not None:
             pairs.append(exact.select(F.lit(HIT).alias("what"), "pos", F.col("accepted_pos").alias("other")))
         for rows in pairs:
-            every = every.unionByName(rows.select("*", *[blank[c].alias(c) for c in ("exact", "content")]))
+            every = every.unionByName(rows.select("*", *[blank[c].alias(c) for c in ("turn", "exact", "content")]))
         return every.withColumn("all", F.lit(1)).groupBy("all").applyInPandas(_settle_delivery, REFUSED)
     content_of = sets.select("id", "content")
-    inside = links.where("id < other").join(content_of.select("id", F.col("content").alias("a")), "id")
+    inside = links.where("not old").join(content_of.select("id", F.col("content").alias("a")), "id")
     inside = inside.join(content_of.select(F.col("id").alias("other"), F.col("content").alias("b")), "other").select("a", "b")
     if exact is None:
         return resolve(names, inside).select("accepted_pos", "pos", F.lit(False).alias("by_store"))
-    near = links.where("other < id").groupBy("id").agg(F.min("other").alias("accepted_pos")).join(content_of, "id").select("content", "accepted_pos")
+    near = links.where("old").groupBy("id").agg(F.min("other").alias("accepted_pos")).join(content_of, "id").select("content", "accepted_pos")
     near = names.select("pos", "content").join(near, "content").select("pos", "accepted_pos")
     known = materialize(exact.unionByName(near).groupBy("pos").agg(F.min("accepted_pos").alias("accepted_pos")), "known")
-    rest = names.join(known.select("pos"), "pos", "left_anti")
-    inner = resolve(rest, inside).select("accepted_pos", "pos", F.lit(False).alias("by_store"))
-    return inner.unionByName(known.select("accepted_pos", "pos", F.lit(True).alias("by_store")))
+    inner = resolve(names, inside, known).select("accepted_pos", "pos", F.lit(False).alias("by_store"))
+    both = inner.unionByName(known.select("accepted_pos", "pos", F.lit(True).alias("by_store")))
+    return both.groupBy("pos").agg(F.min("accepted_pos").alias("accepted_pos"), F.max("by_store").alias("by_store")).select("accepted_pos", "pos", "by_store")
 
 
-def resolve(rows: DataFrame, links: DataFrame) -> DataFrame:
-    """(pos, accepted_pos) of every row refused among ``rows`` themselves, taken in order of pos.
+def resolve(rows: DataFrame, links: DataFrame, known: DataFrame | None = None) -> DataFrame:
+    """(pos, accepted_pos) of every row refused among ``rows`` themselves, taken in order of turn and pos.
 
-    ``rows`` is (pos, exact, content); rows match by a common key or by ``links`` (a, b) between contents. A row is accepted once
+    ``rows`` is (turn, pos, exact, content); rows match by a common key or by ``links`` (a, b) between contents. A row is accepted once
     no earlier row that matches it is left undecided or accepted, and refused once one is accepted; each round decides the
-    first of every chain, by the least pos of each key alone, so no group of rows with one key is collected or paired. Once
+    first of every chain, by the least row of each key alone, so no group of rows with one key is collected or paired. Once
     at most ``SETTLED_TOGETHER`` keys of undecided rows are left, one task takes these in order, so long chains end too.
+    Rows of ``known`` (pos) are refused beforehand; of these come out those that match an accepted row of ``rows``, too.
     """
     both = links.select("a", "b").unionByName(links.select(F.col("b").alias("a"), F.col("a").alias("b")))
-    own = rows.select("pos", F.explode(every_key()).alias("key"), F.lit(1).alias("own"))
-    near = rows.select("pos", "content").join(both, F.col("content") == F.col("a")).select("pos", F.col("b").alias("key"), F.lit(0).alias("own"))
-    watched = own.unionByName(near).groupBy("pos", "key").agg(F.max("own").alias("own"))
+    rows = rows.select(F.struct("turn", "pos").alias("at"), "exact", "content", F.lit(1).alias("own"))
+    if known is not None:
+        rows = rows.withColumn("pos", F.col("at.pos")).join(known.select("pos", F.lit(0).alias("not_own")), "pos", "left")
+        rows = rows.select("at", "exact", "content", F.coalesce("not_own", "own").alias("own"))
+    own = rows.select("at", F.explode(every_key()).alias("key"), "own")
+    near = rows.select("at", "content").join(both, F.col("content") == F.col("a")).select("at", F.col("b").alias("key"), F.lit(0).alias("own"))
+    watched = own.unionByName(near).groupBy("at", "key").agg(F.max("own").alias("own"))
     shared = watched.groupBy("key").agg(F.count("*").alias("n")).where("n > 1").select("key")
-    watched, n = counted(watched.join(shared, "key").select("pos", "key", "own"), "watched")
+    watched, n = counted(watched.join(shared, "key").select("at", "key", "own"), "watched")
+    none = F.lit(None).cast("struct<turn:int,pos:bigint>")
     if n["rows"] <= SETTLED_TOGETHER:
-        return settled(watched.withColumn("taken", F.lit(-1).cast("long"))).where("accepted_pos < pos")
-    kept = watched.where("own = 1").select("pos", "key")
-    state = materialize(watched.select("pos").distinct().withColumn("status", F.lit(0)), "state")
+        return settled(watched.withColumn("taken", none)).where("refused").select("pos", "accepted_pos")
+    kept = watched.where("own = 1").select("at", "key")
+    state = watched.groupBy("at").agg(F.max("own").alias("own")).select("at", F.when(F.col("own") == 1, 0).otherwise(2).alias("status"))
+    state = materialize(state, "state")
     while True:
-        undecided = state.where("status = 0").select("pos")
-        waiting = watched.join(undecided, "pos")
+        undecided = state.where("status = 0").select("at")
+        waiting = watched.join(undecided, "at")
         count = waiting.count()
         if not count:
             break
-        taken = kept.join(state.where("status = 1"), "pos").groupBy("key").agg(F.min("pos").alias("taken"))
+        taken = kept.join(state.where("status = 1"), "at").groupBy("key").agg(F.min("at").alias("taken"))
         if count <= SETTLED_TOGETHER:
-            asked = waiting.join(taken, "key", "left").select("pos", "key", "own", F.coalesce("taken", F.lit(-1)).alias("taken"))
-            decided = settled(asked).select("pos", F.when(F.col("accepted_pos") < F.col("pos"), 2).otherwise(1).alias("now"))
+            asked = waiting.join(taken, "key", "left").select("at", "key", "own", "taken")
+            decided = settled(asked).select(F.struct("turn", "pos").alias("at"), F.when(F.col("refused"), 2).otherwise(1).alias("now"))
         else:
-            first = kept.join(undecided, "pos").groupBy("key").agg(F.min("pos").alias("first"))
+            first = kept.join(undecided, "at").groupBy("key").agg(F.min("at").alias("first"))
             seen = waiting.join(first, "key", "left").join(taken, "key", "left")
-            seen = seen.groupBy("pos").agg(F.min("first").alias("first"), F.min("taken").alias("taken"))
+            seen = seen.groupBy("at").agg(F.min("first").alias("first"), F.min("taken").alias("taken"))
             decided = seen.select(
-                "pos",
-                F.when(F.col("taken") < F.col("pos"), 2).when(F.coalesce("first", F.col("pos")) >= F.col("pos"), 1).otherwise(0).alias("now"),
+                "at",
+                F.when(F.col("taken") < F.col("at"), 2).when(F.coalesce("first", "at") >= F.col("at"), 1).otherwise(0).alias("now"),
             )
-        after = state.join(decided, "pos", "left").select("pos", F.coalesce("now", "status").cast("int").alias("status"))
+        after = state.join(decided, "at", "left").select("at", F.coalesce("now", "status").cast("int").alias("status"))
         after = materialize(after, "state")
         discard(state)
         state = after
-    taken = kept.join(state.where("status = 1"), "pos").groupBy("key").agg(F.min("pos").alias("accepted_pos"))
-    refused = watched.join(state.where("status = 2").select("pos"), "pos").join(taken, "key").where("accepted_pos < pos")
-    return refused.groupBy("pos").agg(F.min("accepted_pos").alias("accepted_pos"))
+    taken = kept.join(state.where("status = 1"), "at").groupBy("key").agg(F.min("at").alias("taken"))
+    refused = watched.join(state.where("status = 2").select("at"), "at").join(taken, "key").where("taken < at")
+    return refused.groupBy(F.col("at.pos").alias("pos")).agg(F.min("taken.pos").alias("accepted_pos"))
 
 
 def accept_delivery(store: FingerprintStore, batch: DataFrame, count: int | None = None) -> DataFrame:
     """(accepted_pos, pos, by_store) of the delivery's refused rows; what is accepted goes into the store.
 
-    ``batch`` is a written result of :func:`keyed_batch`, of one or more batches in order of pos, all later than what the store has;
-    ``count`` its rows, where they are known. A row is refused when it matches a row accepted before, of the store or of its own
+    ``batch`` is a written result of :func:`keyed_batch`, of one or more batches, all later than what the store has; their rows are taken
+    in order of ``turn``, if there is such a column (the batch's number within the delivery), and pos. ``count`` is its rows, where they are known. A row is refused when it matches a row accepted before, of the store or of its own
     delivery: by canonical URL, by source and title, or by word sets of a similarity of at least the store's threshold. Rows with a
     null or empty url, title or content have no such key; a row without any key is accepted. pos must be unique. Only the delivery's own
     fingerprints are computed: the filter screens them, the store's are looked up by key, and hits are verified on the whole word sets.
     Only accepted rows add fingerprints, sets and bits of the filter.
     """
-    names, count = batch.select("pos", "exact", "content"), batch.count() if count is None else count
+    turn = F.col("turn") if "turn" in batch.columns else F.lit(0)
+    names, count = batch.select(turn.cast("int").alias("turn"), "pos", "exact", "content"), batch.count() if count is None else count
     first = batch.where("content is not null").groupBy("content").agg(F.min(F.struct("pos", "tokens")).alias("first"))
     first = first.select(F.lit(None).cast("array<string>").alias("exact"), "content", "first.tokens", F.col("first.pos").alias("id"))
     sets, n = counted(first.mapInPandas(with_sketches, SETS), "sets")
@@ -497,7 +511,7 @@ def replay(
 ) -> DataFrame:
     """(accepted_pos, pos, by_store) of all refused rows, the batches taken in order through a fresh store in ``folder``.
 
-    Each delivery has ``together`` batches, whose order pos must follow; the number changes the
+    Rows are taken in order of batch and pos; pos need not rise with the batch. Each delivery has ``together`` batches; the number changes the
     work, never the result. Rows with a null batch or pos are left out.
     """
     spark = rows.sparkSession
@@ -506,9 +520,10 @@ def replay(
     dates = rows.select(F.col(pos).cast("long").alias("pos"), F.col(batch).cast("string").alias("day")).where("pos is not null and day is not null")
     days = {r["day"]: r["count"] for r in dates.groupBy("day").count().collect()}
     order = sorted(days)
-    slice_of = F.create_map(*[F.lit(x) for i, d in enumerate(order) for x in (d, i // together)]) if order else F.create_map(F.lit(""), F.lit(0))
+    number_of = F.create_map(*[F.lit(x) for i, d in enumerate(order) for x in (d, i)]) if order else F.create_map(F.lit(""), F.lit(0))
     files = max(1, *[-(-n * together // ROWS_PER_FILE) for n in [1, *days.values()]])
-    keyed = keyed.join(dates.select("pos", F.element_at(slice_of, F.col("day")).alias("slice")), "pos")
+    number = F.element_at(number_of, F.col("day"))
+    keyed = keyed.join(dates.select("pos", (number % together).cast("int").alias("turn"), F.floor(number / together).cast("int").alias("slice")), "pos")
     path = scratch(spark, "keyed")
     keyed.repartition("slice", F.pmod(F.xxhash64("pos"), F.lit(files))).write.partitionBy("slice").parquet(path)
     if not order:
