@@ -54,7 +54,7 @@ def near_duplicates(
     sets = materialize(sets, "leaders")
     discard(made)
     named = sets.select("id", "kind", "pos")
-    found = similar_sets(sets, threshold)
+    found = similar_sets(sets, threshold, rare_alone=True)
     links = (
         found.join(named.select(F.col("id").alias("id_a"), "kind", F.col("pos").alias("x")), "id_a")
         .join(named.select(F.col("id").alias("id_b"), F.col("pos").alias("y")), "id_b")

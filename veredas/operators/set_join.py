@@ -4,8 +4,9 @@ from __future__ import annotations
 
 import math
 from bisect import bisect_right
-from collections.abc import Callable, Iterator
+from collections.abc import Callable, Iterable, Iterator
 from dataclasses import dataclass
+from itertools import chain
 
 import numpy as np
 import pandas as pd
@@ -20,8 +21,12 @@ BANDS = [(1, 0), (3, 1), (8, 2), *((24 << 3 * k, 8 << 3 * k) for k in range(12))
 EDGES = [least for least, _ in BANDS]
 #: A word is frequent if it is in at least this share of the sets: there are at most mean size / share of them.
 FREQUENT_SHARE = 0.001
+#: Where rare words are keys by themselves, only pairs of frequent words are left to the segments: so many times fewer of them do.
+FEWER = 4
 #: Rows of one key that are paired where they meet; those of longer runs go through a join that is split by its rows.
-RUN = 4_096
+RUN = 1 << 17
+#: Rows of one key from which they are compared in blocks of rows, and the rows of either side in a block.
+BLOCKED, BLOCK = 64, (128, 512)
 #: Pairs that are looked at together.
 CHUNK = 1 << 20
 #: Sets whose keys are made together.
@@ -73,26 +78,39 @@ def together(groups: np.ndarray) -> Iterator[tuple[np.ndarray, np.ndarray]]:
         i = i[i + d < len(groups)]
 
 
+KEY = ("key", "id", "size", "small")
+#: Columns of the parity in key rows, by its bits.
+PARITY = {128: ("low", "high"), 256: ("low", "high", "third", "fourth")}
 KEYS = "key long, id long, size int, small boolean, low long, high long"
+LONG_KEYS = f"{KEYS}, third long, fourth long"
 
 
-def signatures(flat: np.ndarray, sizes: np.ndarray, salts: np.ndarray, order: Order, threshold: float) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+def signatures(
+    flat: np.ndarray, sizes: np.ndarray, salts: np.ndarray, order: Order, threshold: float, rare_alone: bool = False
+) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """(set's index, key, small) of the keys of many sets, whose words stand one after the other in ``flat``.
 
     With n segments, any n + 1 shared words have two in one segment. A pair that shares ``least_overlap`` words has its first
     n + 1 shared words, in the global order, among each set's first size − least_overlap + n + 1: so the two sets
     share a segment subset of two of those words (without segments: one word). A set has the keys that it needs as the larger
     one of a pair, in the band of each possible smaller one; ``small`` marks those that it needs as the smaller one.
+
+    With ``rare_alone`` a word that is not frequent is a key by itself. Of the first n + 1 shared words one is rare, or two frequent
+    ones are in one segment; so there are few segments, and the sets with enough rare words have hardly a key of frequent ones.
     """
     if threshold < 0.4:
         raise ValueError("a threshold below 0.4 does not guarantee a common key")
     owner = np.repeat(np.arange(len(sizes)), sizes)
-    flat = flat[np.lexsort((flat, order.rank(flat), owner))]
+    rank = order.rank(flat)
+    by = np.lexsort((flat, rank, owner))
+    flat, rare = flat[by], rank[by] == 0
     at = np.arange(len(flat)) - np.repeat(np.cumsum(sizes) - sizes, sizes)
     least = np.maximum(1, np.ceil(threshold * sizes - 1e-9).astype(np.int64))
     found = []
     for band in range(band_of(int(least.min(initial=1))), band_of(int(sizes.max(initial=1))) + 1):
         low, segments = BANDS[band]
+        if rare_alone and segments >= 2 * FEWER:
+            segments //= FEWER
         high = EDGES[band + 1] if band + 1 < len(EDGES) else 1 << 62
         used = (sizes >= low) & (least < high)
         prefix = np.where(used, sizes - least_overlap(sizes, np.maximum(low, least), threshold) + segments + 1, 0)
@@ -102,8 +120,11 @@ def signatures(flat: np.ndarray, sizes: np.ndarray, salts: np.ndarray, order: Or
             continue
         who, place, word = owner[chosen], at[chosen], flat[chosen].view(np.uint64)
         base = (salts[who].astype(np.uint64) * np.uint64(31) + np.uint64(band + 1)) * np.uint64(0x9E3779B97F4A7C15)
-        if not segments:
-            found.append((who, base ^ word * np.uint64(0xBF58476D1CE4E5B9), place < own[who]))
+        alone = rare[chosen] if rare_alone and segments else np.full(len(chosen), not segments)
+        if alone.any():
+            found.append((who[alone], base[alone] ^ word[alone] * np.uint64(0xBF58476D1CE4E5B9), (place < own[who])[alone]))
+            who, place, word, base = who[~alone], place[~alone], word[~alone], base[~alone]
+        if not len(who):
             continue
         cell = who * segments + ((word >> np.uint64(7)) % np.uint64(segments)).astype(np.int64)
         by = np.argsort(cell, kind="stable")
@@ -134,22 +155,21 @@ def _parts(batches: Iterator[pd.DataFrame]) -> Iterator[tuple[pd.DataFrame, np.n
             yield part, np.concatenate([np.empty(0, dtype=np.int64), *part["tokens"]]).astype(np.int64), sizes
 
 
-def key_rows(order: Order, threshold: float) -> Callable[[Iterator[pd.DataFrame]], Iterator[pd.DataFrame]]:
-    """mapInPandas body: one row per key of each set (id, salt, tokens)."""
+def key_rows(order: Order, threshold: float, rare_alone: bool = False, bits: int = 128) -> Callable[[Iterator[pd.DataFrame]], Iterator[pd.DataFrame]]:
+    """mapInPandas body: one row per key of each set (id, salt, tokens), with a parity of 128 or 256 bits."""
 
     def emit(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for part, flat, sizes in _parts(batches):
-            who, key, small = signatures(flat, sizes, part["salt"].to_numpy(dtype=np.int64), order, threshold)
-            sketch = parities(flat, sizes, 128, 0)
+            who, key, small = signatures(flat, sizes, part["salt"].to_numpy(dtype=np.int64), order, threshold, rare_alone)
+            sketch = parities(flat, sizes, bits, 0)
             yield pd.DataFrame(
                 {
                     "key": key,
                     "id": part["id"].to_numpy(dtype=np.int64)[who],
                     "size": sizes.astype(np.int32)[who],
                     "small": small,
-                    "low": sketch[who, 0],
-                    "high": sketch[who, 1],
                 }
+                | {c: sketch[who, i] for i, c in enumerate(PARITY[bits])}
             )
 
     return emit
@@ -168,10 +188,15 @@ def wide_sketches(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
 
 PAIR, HOT, ASK = 0, 1, 2
 MET = f"what byte, other long, {KEYS}"
+LONG_MET = f"what byte, other long, {LONG_KEYS}"
 
 
 def key_frame(what: int, x: dict[str, np.ndarray], keep: np.ndarray | slice) -> pd.DataFrame:
-    return pd.DataFrame({"what": np.int8(what), "other": np.int64(0)} | {c: x[c][keep] for c in ("key", "id", "size", "small", "low", "high")})
+    return pd.DataFrame({"what": np.int8(what), "other": np.int64(0)} | {c: v[keep] for c, v in x.items()})
+
+
+def _parity(columns: Iterable[str]) -> list[str]:
+    return [c for c in columns if c in PARITY[256]]
 
 
 def _close(x: dict[str, np.ndarray], i: np.ndarray, j: np.ndarray, threshold: float) -> np.ndarray:
@@ -181,28 +206,76 @@ def _close(x: dict[str, np.ndarray], i: np.ndarray, j: np.ndarray, threshold: fl
     keep = np.flatnonzero(small & (np.minimum(a, b) >= np.maximum(a, b) * threshold - 1e-9) & (x["id"][i] != x["id"][j]))
     i, j = i[keep], j[keep]
     # The count of a negative number's bits is that of its absolute value.
-    differ = sum(np.bitwise_count((x[c][i] ^ x[c][j]).view(np.uint64)).astype(np.int64) for c in ("low", "high"))
+    differ = sum(np.bitwise_count((x[c][i] ^ x[c][j]).view(np.uint64)).astype(np.int64) for c in _parity(x))
     return keep[differ <= (a[keep] + b[keep]) * ((1 - threshold) / (1 + threshold)) + 1e-9]
 
 
+def _runs(key: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Starts and lengths of the runs of equal keys."""
+    starts = np.flatnonzero(np.concatenate([[True], key[1:] != key[:-1]]))
+    return starts, np.diff(np.append(starts, len(key)))
+
+
+def _blocks(x: dict[str, np.ndarray], start: int, end: int, threshold: float) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """(i, j), i < j, of one run in order of size that may be similar by the first 128 bits; i has the key as the smaller one."""
+    size, low, high = (x[c][start:end] for c in ("size", "low", "high"))
+    smalls = np.flatnonzero(x["small"][start:end])
+    rows, columns = BLOCK
+    for at in range(0, len(smalls), rows):
+        i = smalls[at : at + rows]
+        most = int(size[i[-1]])
+        last = int(np.searchsorted(size, most / threshold + 1e-6, side="right"))
+        for first in range(int(i[0]) + 1, last, columns):
+            j = slice(first, min(first + columns, last))
+            allowed = np.minimum((most + size[j]) * ((1 - threshold) / (1 + threshold)) + 1e-6, 255).astype(np.uint8)
+            differ = np.bitwise_count((low[i, None] ^ low[None, j]).view(np.uint64)) + np.bitwise_count((high[i, None] ^ high[None, j]).view(np.uint64))
+            a, b = np.nonzero(differ <= allowed)
+            a, b = i[a], b + first
+            later = b > a
+            yield a[later] + start, b[later] + start
+
+
 def _pairs(x: dict[str, np.ndarray], threshold: float) -> pd.DataFrame:
-    """The distinct (id, other), id < other, of rows that share a key and may be similar; rows of a key stand together."""
+    """The distinct (id, other), id < other, of rows that share a key and may be similar; rows of a key stand together.
+
+    In order of size the earlier row of a pair is the smaller one, so only rows that have the key as such look for later ones.
+    """
+    starts, lengths = _runs(x["key"])
+    used = np.repeat((lengths > 1) & np.logical_or.reduceat(x["small"], starts), lengths)
+    run = np.repeat(np.arange(len(lengths)), lengths)[used]
+    x = {c: v[used] for c, v in x.items()}
+    by = np.lexsort((x["size"], run))
+    x = {c: v[by] for c, v in x.items()}
+    if not len(run):
+        return pd.DataFrame()
+    starts, lengths = _runs(run)
+    ends, blocked = np.repeat(starts + lengths, lengths), lengths >= BLOCKED
     less, more, waiting = [], [], []
     size = 0
 
     def look() -> None:
+        nonlocal size
         i, j = (np.concatenate(y) for y in zip(*waiting))
         keep = _close(x, i, j, threshold)
         a, b = x["id"][i[keep]], x["id"][j[keep]]
         less.append(np.minimum(a, b))
         more.append(np.maximum(a, b))
-
-    for i, j in together(x["key"]):
+        waiting.clear()
+        size = 0
+
+    def short() -> Iterator[tuple[np.ndarray, np.ndarray]]:
+        i, d = np.flatnonzero(x["small"] & ~np.repeat(blocked, lengths)), 1
+        while len(i := i[i + d < ends[i]]):
+            i = i[x["size"][i] >= x["size"][i + d] * threshold - 1e-9]
+            yield i, i + d
+            d += 1
+
+    found = [short(), *(_blocks(x, s, s + n, threshold) for s, n in zip(starts[blocked].tolist(), lengths[blocked].tolist()))]
+    for i, j in chain.from_iterable(found):
         waiting.append((i, j))
         size += len(i)
         if size >= CHUNK:
             look()
-            waiting, size = [], 0
     if waiting:
         look()
     if not less:
@@ -254,13 +327,13 @@ def meet(batches: Iterator[dict[str, np.ndarray]], threshold: float) -> Iterator
 def _found(x: dict[str, np.ndarray], threshold: float) -> pd.DataFrame:
     pairs = _pairs(x, threshold) if len(x["key"]) > 1 else pd.DataFrame()
     n = len(pairs)
-    blank = {"key": np.zeros(n, dtype=np.int64), "size": np.zeros(n, dtype=np.int32), "small": np.zeros(n, dtype=bool), "low": np.zeros(n, dtype=np.int64), "high": np.zeros(n, dtype=np.int64)}
-    own = {"what": np.full(n, PAIR, dtype=np.int8), "other": pairs["other"] if n else np.empty(0, dtype=np.int64)}
-    return pd.DataFrame({**own, "key": blank["key"], "id": pairs["id"] if n else np.empty(0, dtype=np.int64), **{c: blank[c] for c in ("size", "small", "low", "high")}})
+    own = {"what": np.full(n, PAIR, dtype=np.int8), "other": pairs["other"].to_numpy() if n else np.empty(0, dtype=np.int64)}
+    blank = {c: np.zeros(n, dtype=v.dtype) for c, v in x.items()}
+    return pd.DataFrame(own | blank | ({"id": pairs["id"].to_numpy()} if n else {}))
 
 
 def key_columns(batch: pd.DataFrame) -> dict[str, np.ndarray]:
-    return {c: batch[c].to_numpy() for c in ("key", "id", "size", "small", "low", "high")}
+    return {c: batch[c].to_numpy() for c in (*KEY, *_parity(batch.columns))}
 
 
 def may_match(a: str, b: str, threshold: float, sketch: tuple[str, ...] = ("low", "high")) -> Column:
@@ -283,10 +356,13 @@ def overlap_holds(a: str, b: str, threshold: float) -> Column:
 
 
 def hot_pairs(hot: DataFrame, threshold: float) -> DataFrame:
-    """(id, other), id < other, of the rows of the keys with long runs, by a join that adaptive execution splits."""
-    one, two = hot.alias("a"), hot.hint("merge").alias("b")
-    met = one.join(two, F.col("a.key") == F.col("b.key")).where("a.id < b.id").where(smaller_has_key("a", "b") & may_match("a", "b", threshold))
-    return met.select(F.col("a.id").alias("id"), F.col("b.id").alias("other"))
+    """(id, other), id < other, of the rows of the keys with long runs, by a join that adaptive execution splits.
+
+    One side has only the rows that have the key as the smaller set."""
+    one, two = hot.where("small").alias("a"), hot.hint("merge").alias("b")
+    met = one.join(two, F.col("a.key") == F.col("b.key")).where("a.size < b.size or (a.size = b.size and b.small and a.id < b.id)")
+    met = met.where(may_match("a", "b", threshold, tuple(_parity(hot.columns))))
+    return met.select(F.least("a.id", "b.id").alias("id"), F.greatest("a.id", "b.id").alias("other"))
 
 
 def candidates(keys: DataFrame, threshold: float) -> DataFrame:
@@ -298,7 +374,8 @@ def candidates(keys: DataFrame, threshold: float) -> DataFrame:
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         return meet(map(key_columns, batches), threshold)
 
-    met = materialize(keys.repartition("key").sortWithinPartitions("key").mapInPandas(run, MET), "met")
+    schema = LONG_MET if "third" in keys.columns else MET
+    met = materialize(keys.repartition("key").sortWithinPartitions("key").mapInPandas(run, schema), "met")
     pairs = met.where(F.col("what") == PAIR).select("id", "other")
     return pairs.unionByName(hot_pairs(met.where(F.col("what") == HOT), threshold)).distinct()
 
@@ -314,16 +391,18 @@ def near_pairs(pairs: DataFrame, sketches: DataFrame, threshold: float) -> DataF
     )
 
 
-def similar_sets(sets: DataFrame, threshold: float, order: Order | None = None, exact: bool = True) -> DataFrame:
+def similar_sets(sets: DataFrame, threshold: float, order: Order | None = None, exact: bool = True, rare_alone: bool = False) -> DataFrame:
     """(id_a, id_b), id_a < id_b: all pairs of distinct sets of equal salt with similarity of at least ``threshold``.
 
     ``sets`` is a written table (id, salt, tokens) of different non-empty sets. Candidates meet by key, so a pair is
     compared only if it shares a segment subset; a 128-bit parity sketch in the key rows bounds the difference before
     anything else is shuffled, a wider one before the sets are, and the survivors are verified on their whole sets. No key is
     collected: the rows of a hot one are a join that adaptive execution splits. Without ``exact`` the last step is left to the caller.
+    ``rare_alone`` is for sets of many words: rare ones are keys by themselves, and the sketch in the key rows has 256 bits.
     """
     order = order or word_order(sets, sets.count())
-    keys = sets.select("id", "salt", "tokens").mapInPandas(key_rows(order, threshold), KEYS)
+    body, schema = (key_rows(order, threshold, True, 256), LONG_KEYS) if rare_alone else (key_rows(order, threshold), KEYS)
+    keys = sets.select("id", "salt", "tokens").mapInPandas(body, schema)
     sketches = materialize(sets.select("id", "tokens").mapInPandas(wide_sketches, SKETCH), "sketches")
     near = near_pairs(candidates(keys, threshold), sketches, threshold)
     if not exact:
