@@ -21,8 +21,8 @@ BANDS = [(1, 0), (3, 1), (8, 2), *((24 << 3 * k, 8 << 3 * k) for k in range(12))
 EDGES = [least for least, _ in BANDS]
 #: A word is frequent if it is in at least this share of the sets: there are at most mean size / share of them.
 FREQUENT_SHARE = 0.001
-#: Where rare words are keys by themselves, only pairs of frequent words are left to the segments: so many times fewer of them do.
-FEWER = 4
+#: Where rare words are keys by themselves, only pairs of frequent words are left to the segments: so many of eight do.
+OF_EIGHT = 3
 #: Rows of one key that are paired where they meet; those of longer runs go through a join that is split by its rows.
 RUN = 1 << 17
 #: Rows of one key from which they are compared in blocks of rows, and the rows of either side in a block.
@@ -109,8 +109,8 @@ def signatures(
     found = []
     for band in range(band_of(int(least.min(initial=1))), band_of(int(sizes.max(initial=1))) + 1):
         low, segments = BANDS[band]
-        if rare_alone and segments >= 2 * FEWER:
-            segments //= FEWER
+        if rare_alone and segments >= 8:
+            segments = segments * OF_EIGHT // 8
         high = EDGES[band + 1] if band + 1 < len(EDGES) else 1 << 62
         used = (sizes >= low) & (least < high)
         prefix = np.where(used, sizes - least_overlap(sizes, np.maximum(low, least), threshold) + segments + 1, 0)
